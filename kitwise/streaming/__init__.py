@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The report is a batch job over snapshots: it has no watermark, window, state
+or incremental input, so nothing here is built (see README, "Not built").
+"""
