@@ -1,13 +1,14 @@
 """Weeks of stock (stages J2-J8).
 
-Each line gets a weekly spine from the as-of week to its last demand week
-(at most ``max_week_offset``), generated per row with ``sequence``; no join to
-a generator table.
+Each line covers the weeks from the as-of week to its last demand week (at
+most ``max_week_offset``). The weekly demand of a part arrives as one bounded
+map per part; the running demand and weekly coverage are array expressions
+on the line's row, so there is no weekly table, join on weeks or window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kitwise.functions.dates import week_offset
@@ -16,94 +17,140 @@ from kitwise.functions.text import not_text_true, text_key
 from kitwise.params import ReportParams
 
 
-def demand_horizon(spine: DataFrame, remaining: DataFrame, p: ReportParams) -> DataFrame:
+def demand_horizon(spine: DataFrame, last_week: DataFrame, p: ReportParams) -> DataFrame:
     """Last demand week offset per (path, part, revision), clipped to [0, max]."""
-    r = remaining.select(
-        F.col("part_number").alias("_r_part"), F.col("revision").alias("_r_rev"), "demand_week"
+    lw = last_week.select(
+        F.col("part_number").alias("_lw_part"), F.col("revision_key").alias("_lw_key"), "last_demand_week"
     )
     lines = spine.where(F.col("part_number").isNotNull() & F.col("path").isNotNull()).select(
         "path", "part_number", "revision"
     )
     j = lines.join(
-        r, (lines["part_number"] == r["_r_part"]) & (text_key(lines["revision"]) == text_key(r["_r_rev"])), "left"
+        lw, (lines["part_number"] == lw["_lw_part"]) & (text_key(lines["revision"]) == lw["_lw_key"]), "left"
     )
-    last = F.coalesce(F.max(week_offset(F.col("demand_week"), p.week0)), F.lit(0))
+    last = F.coalesce(F.max(week_offset(F.col("last_demand_week"), p.week0)), F.lit(0))
     return j.groupBy("path", "part_number", "revision").agg(
         F.least(F.lit(p.max_week_offset), F.greatest(F.lit(0), last)).alias("max_week_offset")
     )
 
 
-def coverage_base(
+def weekly_demand_map(remaining: DataFrame, p: ReportParams) -> DataFrame:
+    """Remaining demand of weeks 0..max per (part, revision key) as a map offset -> demand.
+
+    At most ``max_week_offset + 1`` entries per part, so the map is bounded.
+    """
+    off = week_offset(F.col("demand_week"), p.week0)
+    per_week = (
+        remaining.where(F.col("demand_week") <= F.lit(p.week(p.max_week_offset)))
+        .groupBy("part_number", text_key(F.col("revision")).alias("revision_key"), off.alias("week_offset"))
+        .agg(F.sum("week_demand").alias("week_demand"))
+    )
+    return per_week.groupBy("part_number", "revision_key").agg(
+        F.map_from_entries(F.collect_list(F.struct("week_offset", "week_demand"))).alias("demand_by_week")
+    )
+
+
+def line_weeks(
     horizon: DataFrame,
-    remaining: DataFrame,
+    demand_map: DataFrame,
     inv_alt: DataFrame,
     parent_stock: DataFrame,
     transit_alt: DataFrame,
-    p: ReportParams,
 ) -> DataFrame:
-    """One row per line and week 0..horizon with demand and stock figures."""
-    weeks = horizon.select(
-        "path",
-        "part_number",
-        "revision",
-        F.explode(F.sequence(F.lit(0), F.col("max_week_offset"))).alias("week_offset"),
-    ).withColumn("demand_week", F.date_add(F.lit(p.week0), F.col("week_offset") * 7))
-    r = remaining.select(
-        F.col("part_number").alias("_r_part"),
-        F.col("revision").alias("_r_rev"),
-        F.col("demand_week").alias("_r_week"),
-        "week_demand",
-    )
-    j = weeks.join(
-        r,
-        (weeks["part_number"] == r["_r_part"])
-        & (text_key(weeks["revision"]) == text_key(r["_r_rev"]))
-        & (weeks["demand_week"] == r["_r_week"]),
-        "left",
-    )
+    """J3-J5 per line as arrays over weeks 0..horizon.
+
+    One row per line with the stock figures and arrays of weekly demand, the
+    demand of all earlier weeks, and the covered fraction of each week (for
+    stock, stock + transit, transit). Built with array functions on the row,
+    so the weekly spine is never a table, joined or windowed.
+    """
+    dm = demand_map.select(F.col("part_number").alias("_dm_part"), F.col("revision_key").alias("_dm_key"), "demand_by_week")
     j = (
-        j.join(inv_alt.select("part_number", "on_hand_alt"), "part_number", "left")
+        horizon.join(
+            dm,
+            (horizon["part_number"] == dm["_dm_part"]) & (text_key(horizon["revision"]) == dm["_dm_key"]),
+            "left",
+        )
+        .join(inv_alt.select("part_number", "on_hand_alt"), "part_number", "left")
         .join(parent_stock.select("path", "on_hand_in_parents"), "path", "left")
         .join(transit_alt.select("part_number", "in_transit_alt"), "part_number", "left")
     )
     stock = F.coalesce(F.col("on_hand_alt"), F.lit(0.0)) + F.coalesce(F.col("on_hand_in_parents"), F.lit(0.0))
     transit = F.coalesce(F.col("in_transit_alt"), F.lit(0.0))
-    return j.select(
+    weeks = F.sequence(F.lit(0), F.col("max_week_offset"))
+    demand = F.transform(
+        weeks, lambda i: F.coalesce(F.try_element_at(F.col("demand_by_week"), i), F.lit(0.0))
+    )
+    base = j.select(
         "path",
         "part_number",
         "revision",
-        "week_offset",
-        "demand_week",
-        F.coalesce(F.col("week_demand"), F.lit(0.0)).alias("week_demand"),
+        demand.alias("week_demand"),
         stock.alias("stock"),
         (stock + transit).alias("stock_with_in_transit"),
         transit.alias("in_transit"),
     )
+    start = F.struct(F.lit(0.0).alias("run"), F.array().cast("array<double>").alias("prior"))
+    running = F.aggregate(
+        F.col("week_demand"),
+        start,
+        lambda acc, x: F.struct((acc["run"] + x).alias("run"), F.concat(acc["prior"], F.array(acc["run"])).alias("prior")),
+    )
+    with_prior = base.withColumn("prior_demand", running["prior"])
 
+    def cov(fn, stock_col):
+        return F.zip_with(F.col("week_demand"), F.col("prior_demand"), lambda d, pr: fn(F.col(stock_col), pr, d))
 
-def weekly_stock_position(base: DataFrame) -> DataFrame:
-    """Demand of all earlier weeks of the same path."""
-    w = Window.partitionBy("path").orderBy("week_offset").rowsBetween(Window.unboundedPreceding, -1)
-    return base.withColumn("prior_demand", F.coalesce(F.sum("week_demand").over(w), F.lit(0.0)))
+    return with_prior.select(
+        "*",
+        cov(coverage, "stock").alias("week_coverage"),
+        cov(coverage, "stock_with_in_transit").alias("week_coverage_with_in_transit"),
+        cov(coverage_in_transit, "in_transit").alias("week_coverage_in_transit"),
+    )
 
 
-def weekly_coverage(position: DataFrame) -> DataFrame:
-    """Covered fraction of each week, for stock, stock + transit, transit."""
-    prior, demand = F.col("prior_demand"), F.col("week_demand")
-    return position.select(
-        "*",
-        coverage(F.col("stock"), prior, demand).alias("week_coverage"),
-        coverage(F.col("stock_with_in_transit"), prior, demand).alias("week_coverage_with_in_transit"),
-        coverage_in_transit(F.col("in_transit"), prior, demand).alias("week_coverage_in_transit"),
+_WEEK_ARRAYS = (
+    "week_demand",
+    "prior_demand",
+    "week_coverage",
+    "week_coverage_with_in_transit",
+    "week_coverage_in_transit",
+)
+
+
+def weekly_coverage(lines: DataFrame, p: ReportParams) -> DataFrame:
+    """J3-J5 as rows: one per line and week 0..horizon."""
+    zipped = F.arrays_zip(*[F.col(c) for c in _WEEK_ARRAYS])
+    rows = lines.select(
+        "path", "part_number", "revision", "stock", "stock_with_in_transit", "in_transit",
+        F.posexplode(zipped).alias("week_offset", "_w"),
     )
+    return rows.select(
+        "path",
+        "part_number",
+        "revision",
+        "week_offset",
+        F.date_add(F.lit(p.week0), F.col("week_offset") * 7).alias("demand_week"),
+        "stock",
+        "stock_with_in_transit",
+        "in_transit",
+        *[F.col(f"_w.{c}").alias(c) for c in _WEEK_ARRAYS],
+    )
+
+
+def _array_sum(c: str):
+    return F.aggregate(F.col(c), F.lit(0.0), lambda a, x: a + x)
 
 
-def weeks_of_stock(cov: DataFrame) -> DataFrame:
+def weeks_of_stock(lines: DataFrame) -> DataFrame:
     """Weeks of stock per (path, part, revision): the sum of covered fractions."""
-    return cov.groupBy("path", "part_number", "revision").agg(
-        F.sum("week_coverage").cast("double").alias("weeks_of_stock"),
-        F.sum("week_coverage_with_in_transit").cast("double").alias("weeks_of_stock_with_in_transit"),
-        F.sum("week_coverage_in_transit").cast("double").alias("in_transit_weeks_of_stock"),
+    return lines.select(
+        "path",
+        "part_number",
+        "revision",
+        _array_sum("week_coverage").cast("double").alias("weeks_of_stock"),
+        _array_sum("week_coverage_with_in_transit").cast("double").alias("weeks_of_stock_with_in_transit"),
+        _array_sum("week_coverage_in_transit").cast("double").alias("in_transit_weeks_of_stock"),
     )
 
 

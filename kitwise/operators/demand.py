@@ -138,18 +138,74 @@ def _consumed(consumption: DataFrame) -> Column:
     )
 
 
-def weekly_remaining_demand(weekly: DataFrame, consumption: DataFrame, p: ReportParams) -> DataFrame:
-    """max(gross - realized consumption, 0) per (part, revision, week).
+def root_weekly_demand(rows: DataFrame, p: ReportParams) -> DataFrame:
+    """Demand per (root, revision key, week >= W0), summed over types.
 
-    Only the current week loses consumption.
+    Also flags whether the root has Production / Spares rows in that week:
+    realized consumption is deducted once per type that has a row.
     """
-    j = weekly.join(consumption, "part_number", "left")
+    t = F.col("demand_type")
+    return (
+        rows.where(F.col("demand_week") >= F.lit(p.week0))
+        .groupBy(
+            F.col("top_level_bom").alias("_root"),
+            text_key(F.col("top_level_revision")).alias("_root_key"),
+            "demand_week",
+        )
+        .agg(
+            F.sum("demand_quantity").alias("_week_qty"),
+            F.max(F.coalesce(t == DEMAND_TYPE_PRODUCTION, F.lit(False))).alias("_has_production"),
+            F.max(F.coalesce(t == DEMAND_TYPE_SPARES, F.lit(False))).alias("_has_spares"),
+        )
+    )
+
+
+def weekly_remaining_demand(
+    lines: DataFrame, root_weekly: DataFrame, consumption: DataFrame, p: ReportParams
+) -> DataFrame:
+    """max(gross - realized consumption, 0) per (part, revision, week >= W0).
+
+    Only the current week loses consumption: production consumption if the
+    part has Production demand that week, field consumption if it has Spares.
+    Computed from per-root weekly totals, so the per-type weekly table (B5)
+    is never built.
+    """
+    pr = _part_root_quantity(lines)
+    j = pr.join(
+        root_weekly,
+        (pr["_line_root"] == root_weekly["_root"]) & (pr["_line_key"] == root_weekly["_root_key"]),
+    )
+    g = j.groupBy("part_number", "revision", "demand_week").agg(
+        F.sum(F.coalesce(F.col("_week_qty") * F.col("_qty"), F.lit(0.0))).alias("_gross"),
+        F.max("_has_production").alias("_has_production"),
+        F.max("_has_spares").alias("_has_spares"),
+    )
+    c = g.join(consumption, "part_number", "left")
     this_week = F.col("demand_week") == F.lit(p.week0)
-    cons = F.when(this_week, _consumed(consumption)).otherwise(F.lit(0.0))
-    return j.groupBy("part_number", "revision", "demand_week").agg(
-        F.greatest(
-            F.sum(F.coalesce(F.col("gross_week_demand"), F.lit(0.0))) - F.sum(cons), F.lit(0.0)
-        ).cast("double").alias("week_demand")
+    used = F.when(
+        this_week,
+        F.when(F.col("_has_production"), F.coalesce(F.col("production_consumption"), F.lit(0.0))).otherwise(F.lit(0.0))
+        + F.when(F.col("_has_spares"), F.coalesce(F.col("nest_consumption"), F.lit(0.0))).otherwise(F.lit(0.0)),
+    ).otherwise(F.lit(0.0))
+    return c.select(
+        "part_number",
+        "revision",
+        "demand_week",
+        F.greatest(F.col("_gross") - used, F.lit(0.0)).cast("double").alias("week_demand"),
+    )
+
+
+def last_demand_week(lines: DataFrame, root_weekly: DataFrame) -> DataFrame:
+    """Latest demand week >= W0 per (part, revision key), over the part's roots.
+
+    Equal to the latest week of ``weekly_remaining_demand`` for the part, but
+    read from the per-root table.
+    """
+    last = root_weekly.groupBy("_root", "_root_key").agg(F.max("demand_week").alias("_last_week"))
+    pr = _part_root_quantity(lines)
+    j = pr.join(last, (pr["_line_root"] == last["_root"]) & (pr["_line_key"] == last["_root_key"]))
+    return j.groupBy("part_number", text_key(F.col("revision")).alias("revision_key")).agg(
+        F.max("_last_week").alias("last_demand_week")
     )
 
 

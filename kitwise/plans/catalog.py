@@ -383,7 +383,7 @@ QUERIES: dict[str, tuple[str, list[tuple[str, str]]]] = {
         [("path", _S), ("part_number", _S), ("revision", _S), ("max_week_offset", _I)],
     ),
     "weekly_stock_position": (
-        "weekly_stock_position",
+        "weekly_coverage",
         [
             ("path", _S),
             ("part_number", _S),

@@ -96,9 +96,19 @@ class ReportStages:
     def weekly_gross_demand(self) -> DataFrame:
         return demand.weekly_gross_demand(self.lines, self.demand_rows, self.p)
 
+    @cached_property
+    def root_weekly_demand(self) -> DataFrame:
+        return demand.root_weekly_demand(self.demand_rows, self.p)
+
     @cached_property
     def weekly_remaining_demand(self) -> DataFrame:
-        return demand.weekly_remaining_demand(self.weekly_gross_demand, self.consumption_this_week, self.p)
+        return demand.weekly_remaining_demand(
+            self.lines, self.root_weekly_demand, self.consumption_this_week, self.p
+        )
+
+    @cached_property
+    def last_demand_week(self) -> DataFrame:
+        return demand.last_demand_week(self.lines, self.root_weekly_demand)
 
     @cached_property
     def part_net_demand(self) -> DataFrame:
@@ -275,30 +285,29 @@ class ReportStages:
     # J. Weeks of stock ----------------------------------------------------
     @cached_property
     def demand_horizon(self) -> DataFrame:
-        return coverage.demand_horizon(self.spine, self.weekly_remaining_demand, self.p)
+        return coverage.demand_horizon(self.spine, self.last_demand_week, self.p)
 
     @cached_property
-    def coverage_base(self) -> DataFrame:
-        return coverage.coverage_base(
+    def weekly_demand_map(self) -> DataFrame:
+        return coverage.weekly_demand_map(self.weekly_remaining_demand, self.p)
+
+    @cached_property
+    def line_weeks(self) -> DataFrame:
+        return coverage.line_weeks(
             self.demand_horizon,
-            self.weekly_remaining_demand,
+            self.weekly_demand_map,
             self.inventory_alt,
             self.line_parent_stock,
             self.in_transit_alt,
-            self.p,
         )
 
-    @cached_property
-    def weekly_stock_position(self) -> DataFrame:
-        return coverage.weekly_stock_position(self.coverage_base)
-
     @cached_property
     def weekly_coverage(self) -> DataFrame:
-        return coverage.weekly_coverage(self.weekly_stock_position)
+        return coverage.weekly_coverage(self.line_weeks, self.p)
 
     @cached_property
     def weeks_of_stock(self) -> DataFrame:
-        return coverage.weeks_of_stock(self.weekly_coverage)
+        return coverage.weeks_of_stock(self.line_weeks)
 
     @cached_property
     def system_alternate_lines(self) -> DataFrame:
