@@ -1,11 +1,54 @@
-"""Queries beyond the report's SQL stages (filled in below)."""
+"""Queries for operators outside the report's SQL stages.
+
+``alternate_components`` (transitive alternates of the pandas fallback),
+``direct_parent_on_hand`` (the notebook's stock-in-parent formula) and
+``plain_path_inline`` (the path normalizer that knows ``PART:REVx`` paths).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kitwise.functions.paths import plain_path_inline
+from kitwise.operators.components import alternate_components, direct_parent_on_hand
+from kitwise.plans.catalog import shape, stages_for
+
+SCHEMAS = {
+    "alternate_components": [("part_number", "string"), ("component", "string"), ("component_size", "bigint")],
+    "direct_parent_on_hand": [("path", "string"), ("part_number", "string"), ("direct_parent_on_hand", "double")],
+    "plain_path_inline": [("path", "string"), ("plain_path", "string")],
+}
+
+INLINE_SEGMENT = r"\|([A-Za-z][A-Za-z0-9]{0,2})\|"
+
+
+def _alternate_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = stages_for(spark, sf_dir)
+    rows = st.spine.join(st.alternates_text, "part_number", "left")
+    return shape(alternate_components(rows), SCHEMAS["alternate_components"])
+
+
+def _direct_parent_on_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = stages_for(spark, sf_dir)
+    rows = st.spine.join(st.inventory_by_part.select("part_number", "on_hand"), "part_number", "left")
+    return shape(direct_parent_on_hand(rows), SCHEMAS["direct_parent_on_hand"])
+
+
+def _plain_path_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bom = stages_for(spark, sf_dir).i.bom
+    # Each path as stored, and rewritten to the inline form PART:REVx.
+    inline = F.regexp_replace(F.col("path"), INLINE_SEGMENT, ":REV$1|")
+    paths = bom.select("path").unionAll(bom.select(inline.alias("path")))
+    out = paths.select("path", plain_path_inline(F.col("path")).alias("plain_path"))
+    return shape(out, SCHEMAS["plain_path_inline"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {
+        "alternate_components": _alternate_components,
+        "direct_parent_on_hand": _direct_parent_on_hand,
+        "plain_path_inline": _plain_path_inline,
+    }
