@@ -7,7 +7,8 @@ row id. The related set of a part is every part of every group it is in
 Sums over the related set (``sum_over_alternates``) do not build the pair
 list: a part in exactly one group takes the group's pre-aggregated total, a
 part in no group its own value, and only parts in two or more groups (whose
-groups may overlap, so members must be de-duplicated) go through pairs.
+groups may overlap, so members must be de-duplicated) go through pairs. The
+mapping from base part to these targets (``alternate_targets``) is built once.
 """
 
 from __future__ import annotations
@@ -78,16 +79,39 @@ def alternates_text(base: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def _membership(base: DataFrame, groups: DataFrame) -> DataFrame:
-    """Per base part: how many groups it is in, and one of them."""
+def alternate_targets(base: DataFrame, groups: DataFrame) -> DataFrame:
+    """Where each base part's sum over its related set comes from.
+
+    One row per (base part, target): a part in no group targets itself, a
+    part in exactly one group targets that group's total, and a part in two
+    or more groups targets each distinct related part (their groups may
+    overlap). Depends only on the groups, so it is built once and reused by
+    every sum.
+    """
     mem = _members(groups)
-    return (
+    membership = (
         base.select("part_number")
         .distinct()
         .join(mem, "part_number", "left")
         .groupBy("part_number")
         .agg(F.count("group_id").alias("_n_groups"), F.min("group_id").alias("_group"))
     )
+    alone = membership.where(F.col("_n_groups") == 0).select(
+        "part_number", F.lit(False).alias("is_group"), F.col("part_number").alias("target")
+    )
+    single = membership.where(F.col("_n_groups") == 1).select(
+        "part_number", F.lit(True).alias("is_group"), F.col("_group").cast("string").alias("target")
+    )
+    multi = (
+        membership.where(F.col("_n_groups") >= 2)
+        .select("part_number")
+        .join(mem, "part_number")
+        .select(F.col("part_number").alias("_base"), "group_id")
+        .join(mem.withColumnRenamed("part_number", "_rel"), "group_id")
+        .select(F.col("_base").alias("part_number"), F.lit(False).alias("is_group"), F.col("_rel").alias("target"))
+        .distinct()
+    )
+    return alone.unionByName(single).unionByName(multi)
 
 
 def sum_over_alternates(
@@ -96,55 +120,35 @@ def sum_over_alternates(
     metrics: DataFrame,
     columns: Sequence[str],
     key: str = "part_number",
+    targets: DataFrame | None = None,
 ) -> DataFrame:
     """Sum ``columns`` of ``metrics`` over each base part's related set.
 
     ``metrics`` has at most one row per ``key``. A related part without a
     metrics row adds 0; a NULL value is skipped as SQL ``SUM`` does. Returns
-    one row per distinct base part.
+    one row per distinct base part. Pass ``targets`` (``alternate_targets``
+    of the same base and groups) to reuse it.
     """
-    m = metrics.select(F.col(key).alias("part_number"), *columns, F.lit(True).alias("_present"))
+    m = metrics.select(F.col(key).alias("target"), *columns, F.lit(True).alias("_present"))
 
     def filled(c: str):
         return F.when(F.col("_present").isNull(), F.lit(0.0)).otherwise(F.col(c))
 
-    mem = _members(groups)
-    membership = _membership(base, groups)
-
-    # Parts in no group: their own values.
-    alone = (
-        membership.where(F.col("_n_groups") == 0)
-        .join(m, "part_number", "left")
-        .select("part_number", *[filled(c).alias(c) for c in columns])
-    )
-
-    # Parts in exactly one group: that group's totals.
     group_totals = (
-        mem.join(m, "part_number", "left")
-        .groupBy("group_id")
+        _members(groups)
+        .withColumnRenamed("part_number", "target")
+        .join(m, "target", "left")
+        .groupBy(F.col("group_id").cast("string").alias("target"))
         .agg(*[F.sum(filled(c)).alias(c) for c in columns])
+        .select(F.lit(True).alias("is_group"), "target", *columns, F.lit(True).alias("_present"))
     )
-    single = (
-        membership.where(F.col("_n_groups") == 1)
-        .join(group_totals, membership["_group"] == group_totals["group_id"], "left")
-        .select("part_number", *columns)
-    )
-
-    # Parts in several groups: de-duplicated pairs.
-    multi_base = membership.where(F.col("_n_groups") >= 2).select("part_number")
-    pairs = (
-        multi_base.join(mem, "part_number")
-        .select(F.col("part_number").alias("_base"), "group_id")
-        .join(mem, "group_id")
-        .select("_base", "part_number")
-        .distinct()
-    )
-    multi = (
-        pairs.join(m, "part_number", "left")
-        .groupBy(F.col("_base").alias("part_number"))
+    values = m.select(F.lit(False).alias("is_group"), "target", *columns, "_present").unionByName(group_totals)
+    t = targets if targets is not None else alternate_targets(base, groups)
+    return (
+        t.join(values, ["is_group", "target"], "left")
+        .groupBy("part_number")
         .agg(*[F.sum(filled(c)).alias(c) for c in columns])
     )
-    return alone.unionByName(single).unionByName(multi)
 
 
 def latest_over_alternates(base: DataFrame, groups: DataFrame, latest: DataFrame, order_col: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitwise.operators.alternates import sum_over_alternates
 from kitwise.params import QUARANTINE, RECEIVING, STOCK_CATEGORIES, ReportParams
 
 INVENTORY_METRICS = ("on_hand", "on_hand_value", "receiving", "quarantine")
@@ -45,8 +44,6 @@ def inventory_by_part(inventory: DataFrame, categories: DataFrame, cost: DataFra
     )
 
 
-def inventory_alt(base: DataFrame, groups: DataFrame, inv: DataFrame) -> DataFrame:
+def inventory_alt(alt_sums: DataFrame) -> DataFrame:
     """G1 summed over each part's related parts (each at its own cost)."""
-    m = inv.select("part_number", *[F.coalesce(F.col(x), F.lit(0.0)).alias(x) for x in INVENTORY_METRICS])
-    s = sum_over_alternates(base, groups, m, list(INVENTORY_METRICS))
-    return s.select("part_number", *[F.col(x).alias(f"{x}_alt") for x in INVENTORY_METRICS])
+    return alt_sums.select("part_number", *[F.col(x).alias(f"{x}_alt") for x in INVENTORY_METRICS])

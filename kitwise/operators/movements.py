@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kitwise.functions.dates import days_between, week_start
 from kitwise.functions.rules import classify_by_rules, movement_category, movement_quantity
-from kitwise.operators.alternates import latest_over_alternates, sum_over_alternates
+from kitwise.operators.alternates import latest_over_alternates
 from kitwise.params import NEST_CONSUMPTION, PRODUCTION_CONSUMPTION, RECEIPT_CATEGORIES, ReportParams
 
 
@@ -81,7 +81,8 @@ def consumption_this_week(moves: DataFrame, p: ReportParams) -> DataFrame:
     )
 
 
-def _window_sums(rcpts: DataFrame, p: ReportParams) -> DataFrame:
+def receipt_window_sums(rcpts: DataFrame, p: ReportParams) -> DataFrame:
+    """Per part: received in the last 4 and 8 weeks, and the latest receipt."""
     w = F.col("receipt_week")
     q = F.col("quantity")
     in4 = (w >= F.lit(p.week(-3))) & (w <= F.lit(p.week0))
@@ -102,7 +103,7 @@ def _rate_since(latest_date, latest_qty, p: ReportParams):
 
 def receipt_rates(rcpts: DataFrame, p: ReportParams) -> DataFrame:
     """4- and 8-week receipt averages and the rate since the last receipt."""
-    s = _window_sums(rcpts, p)
+    s = receipt_window_sums(rcpts, p)
     return s.select(
         "part_number",
         (F.col("received_4w") / F.lit(4.0)).alias("received_avg_4w"),
@@ -113,27 +114,26 @@ def receipt_rates(rcpts: DataFrame, p: ReportParams) -> DataFrame:
 
 def latest_receipt_alt(base: DataFrame, groups: DataFrame, rcpts: DataFrame, p: ReportParams) -> DataFrame:
     """latest receipt (date, quantity) over each part's related parts."""
-    per_part = _window_sums(rcpts, p).select("part_number", "latest")
+    per_part = receipt_window_sums(rcpts, p).select("part_number", "latest")
     latest = latest_over_alternates(base, groups, per_part, "latest")
     return latest.select("part_number", F.col("latest.date").alias("date"), F.col("latest.quantity").alias("quantity"))
 
 
-def receipt_rates_alt(base: DataFrame, groups: DataFrame, rcpts: DataFrame, p: ReportParams) -> DataFrame:
-    """F8: F6 over each part's related parts; no receipts gives 0, 0 and NULL."""
-    per_part = _window_sums(rcpts, p)
-    sums = sum_over_alternates(base, groups, per_part, ["received_4w", "received_8w"])
-    latest = latest_over_alternates(base, groups, per_part.select("part_number", "latest"), "latest")
-    j = sums.join(latest, "part_number", "left")
+def receipt_rates_alt(base: DataFrame, alt_sums: DataFrame, latest_alt: DataFrame, p: ReportParams) -> DataFrame:
+    """F8: F6 over each part's related parts; no receipts gives 0, 0 and NULL.
+
+    ``alt_sums`` holds ``received_4w`` / ``received_8w`` summed over related
+    parts (``alternate_sums``), ``latest_alt`` is F7.
+    """
+    j = base.select("part_number").join(alt_sums, "part_number", "left").join(latest_alt, "part_number", "left")
     return j.select(
         "part_number",
-        (F.col("received_4w") / F.lit(4.0)).alias("received_avg_4w_alt"),
-        (F.col("received_8w") / F.lit(8.0)).alias("received_avg_8w_alt"),
-        _rate_since(F.col("latest.date"), F.col("latest.quantity"), p).alias("received_rate_since_last_alt"),
+        (F.coalesce(F.col("received_4w"), F.lit(0.0)) / F.lit(4.0)).alias("received_avg_4w_alt"),
+        (F.coalesce(F.col("received_8w"), F.lit(0.0)) / F.lit(8.0)).alias("received_avg_8w_alt"),
+        _rate_since(F.col("date"), F.col("quantity"), p).alias("received_rate_since_last_alt"),
     )
 
 
-def supply_this_week_alt(base: DataFrame, groups: DataFrame, supply: DataFrame) -> DataFrame:
+def supply_this_week_alt(alt_sums: DataFrame) -> DataFrame:
     """F4 summed over each part's related parts."""
-    m = supply.select("part_number", F.coalesce(F.col("current_week_supply"), F.lit(0.0)).alias("current_week_supply"))
-    s = sum_over_alternates(base, groups, m, ["current_week_supply"])
-    return s.select("part_number", F.col("current_week_supply").alias("current_week_supply_alt"))
+    return alt_sums.select("part_number", F.col("current_week_supply").alias("current_week_supply_alt"))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kitwise.functions.dates import parse_md_in_year, week_start
-from kitwise.operators.alternates import sum_over_alternates
 from kitwise.params import ReportParams
 
 
@@ -22,7 +21,8 @@ def supply_plan_rows(plans: DataFrame, p: ReportParams) -> DataFrame:
     )
 
 
-def _plan_sums(rows: DataFrame, p: ReportParams) -> DataFrame:
+def plan_sums(rows: DataFrame, p: ReportParams) -> DataFrame:
+    """Per part with a parsable plan row: planned quantity of the next 4 and 8 weeks."""
     w = F.col("plan_week")
     q = F.col("quantity")
     next4 = (w >= F.lit(p.week0)) & (w < F.lit(p.week(4)))
@@ -33,6 +33,7 @@ def _plan_sums(rows: DataFrame, p: ReportParams) -> DataFrame:
         .agg(
             F.sum(F.when(next4, q).otherwise(F.lit(0.0))).alias("_plan4"),
             F.sum(F.when(next8, q).otherwise(F.lit(0.0))).alias("_plan8"),
+            F.lit(True).alias("_has_plan"),
         )
     )
 
@@ -55,12 +56,14 @@ def supply_plan(rows: DataFrame, supply: DataFrame, p: ReportParams) -> DataFram
 
     Only parts with a parsable plan row get a row.
     """
-    j = _plan_sums(rows, p).join(supply, "part_number", "left")
+    j = plan_sums(rows, p).join(supply, "part_number", "left")
     return j.select("part_number", *_net_plan("current_week_supply", ""))
 
 
-def supply_plan_alt(base: DataFrame, groups: DataFrame, rows: DataFrame, supply_alt: DataFrame, p: ReportParams) -> DataFrame:
-    """K3: K2 over each part's related parts, for every base part."""
-    sums = sum_over_alternates(base, groups, _plan_sums(rows, p), ["_plan4", "_plan8"])
-    j = sums.join(supply_alt, "part_number", "left")
-    return j.select("part_number", *_net_plan("current_week_supply_alt", "_alt"))
+def supply_plan_alt(alt_sums: DataFrame) -> DataFrame:
+    """K3: K2 over each part's related parts, for every base part.
+
+    ``alt_sums`` holds the plan windows and this week's receipts summed over
+    related parts (``alternate_sums``).
+    """
+    return alt_sums.select("part_number", *_net_plan("current_week_supply", "_alt"))

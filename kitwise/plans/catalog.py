@@ -483,15 +483,23 @@ def shape(df: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
     return df.select(*cols)
 
 
-def stages_for(spark: SparkSession, sf_dir: str) -> ReportStages:
-    return ReportStages(standins.load(spark, sf_dir), standins.PARAMS)
+# Queries over the whole stage graph write its shared stages once on first
+# use; a single stage reads each shared stage once or twice, so it stays one
+# plan.
+MATERIALIZED = {"report_raw", "report_final", "report_statuses"}
+
+
+def stages_for(spark: SparkSession, sf_dir: str, materialize: str | None = None) -> ReportStages:
+    """Stage graph over the stand-ins."""
+    return ReportStages(standins.load(spark, sf_dir), standins.PARAMS, materialize=materialize)
 
 
 def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     stage, schema = QUERIES[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return shape(getattr(stages_for(spark, sf_dir), stage), schema)
+        st = stages_for(spark, sf_dir, "table" if name in MATERIALIZED else None)
+        return shape(getattr(st, stage), schema)
 
     run.__name__ = name
     return run

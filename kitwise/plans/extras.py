@@ -26,13 +26,13 @@ INLINE_SEGMENT = r"\|([A-Za-z][A-Za-z0-9]{0,2})\|"
 
 
 def _alternate_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = stages_for(spark, sf_dir)
+    st = stages_for(spark, sf_dir, "table")
     rows = st.spine.join(st.alternates_text, "part_number", "left")
     return shape(alternate_components(rows), SCHEMAS["alternate_components"])
 
 
 def _direct_parent_on_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = stages_for(spark, sf_dir)
+    st = stages_for(spark, sf_dir, "table")
     rows = st.spine.join(st.inventory_by_part.select("part_number", "on_hand"), "part_number", "left")
     return shape(direct_parent_on_hand(rows), SCHEMAS["direct_parent_on_hand"])
 

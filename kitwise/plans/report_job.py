@@ -1,7 +1,7 @@
 """The report job: inputs in, the published report out.
 
-``run_report`` builds the stage graph, persists the stages many others read,
-runs one action through ``sink`` and releases the cache. ``main`` is a small
+``run_report`` builds the stage graph, materializes the stages many others
+read on first use, runs the sink and deletes what it wrote. ``main`` is a small
 command line over Parquet inputs with CSV or Parquet output.
 """
 
@@ -24,13 +24,19 @@ def run_report(
     params: ReportParams,
     sink: Callable[[DataFrame], None],
     published: bool = True,
+    materialize: str = "table",
 ) -> None:
-    stages = ReportStages(inputs, params)
-    stages.persist_hot()
+    """Build the report and hand it to ``sink``.
+
+    The stages many others read are written once as tables under the
+    session's checkpoint directory (``materialize="table"``) and deleted when
+    the sink is done.
+    """
+    stages = ReportStages(inputs, params, materialize=materialize)
     try:
         sink(stages.report_final if published else stages.report_raw)
     finally:
-        stages.unpersist()
+        stages.release()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1,18 +1,20 @@
 """The report's stage graph, built lazily from its inputs.
 
 Every attribute is one stage's DataFrame (a logical plan; nothing runs until
-an action). Stages read by several others can be persisted with
-``persist_hot`` before the final action of a full report run.
+an action). Stages read by several others (``HOT_STAGES``) can be
+materialized once on first use, which keeps every later plan small.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from kitwise.operators import (
+    alternate_sums,
     alternates,
     coverage,
     cost,
@@ -27,16 +29,67 @@ from kitwise.operators import (
     transit,
 )
 from kitwise.params import ReportParams
+from kitwise.plans.session import ensure_checkpoint_dir
 from kitwise.sources.tables import ReportInputs
 
-HOT_STAGES = ("lines", "groups", "moves", "inventory_by_part", "in_transit", "spine", "report_parts")
+# Stages read by several others in a full report run; all but the first four
+# are aggregates, far smaller than the inputs.
+HOT_STAGES = (
+    "lines",
+    "spine",
+    "moves",
+    "groups",
+    "report_parts",
+    "alternate_targets",
+    "root_demand_by_type",
+    "root_weekly_demand",
+    "part_cost",
+    "inventory_by_part",
+    "in_transit",
+    "part_net_demand",
+    "alternate_sums",
+)
 
 
 class ReportStages:
-    def __init__(self, inputs: ReportInputs, params: ReportParams):
+    """Lazily built stages.
+
+    ``materialize`` decides what happens to a stage of ``HOT_STAGES`` the
+    first time it is used: ``None`` leaves it as a plan, ``"table"`` writes it
+    as Parquet under the session's checkpoint directory and reads it back
+    (cuts the lineage, keeps columnar pruning, survives executor loss),
+    ``"persist"`` keeps it in the block store.
+    """
+
+    def __init__(self, inputs: ReportInputs, params: ReportParams, materialize: str | None = None):
         self.i = inputs
         self.p = params
+        self.materialize = materialize
         self._persisted: list[DataFrame] = []
+        self._written: list[str] = []
+        self._run_id = uuid.uuid4().hex[:12]
+
+    def __getattribute__(self, name: str):
+        value = object.__getattribute__(self, name)
+        if name in HOT_STAGES and isinstance(value, DataFrame):
+            d = object.__getattribute__(self, "__dict__")
+            done = d.setdefault("_materialized", set())
+            if name not in done and object.__getattribute__(self, "materialize"):
+                done.add(name)
+                value = object.__getattribute__(self, "_materialize")(name, value)
+                d[name] = value
+        return value
+
+    def _materialize(self, name: str, df: DataFrame) -> DataFrame:
+        if self.materialize == "persist":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(df)
+            return df
+        spark = df.sparkSession
+        path = f"{ensure_checkpoint_dir(spark)}/kitwise-stages/{self._run_id}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self._written.append(path)
+        return spark.read.parquet(path)
 
     # A. Hierarchy ---------------------------------------------------------
     @cached_property
@@ -151,6 +204,23 @@ class ReportStages:
     def alternates_text(self) -> DataFrame:
         return alternates.alternates_text(self.report_parts, self.alternate_bridge)
 
+    @cached_property
+    def alternate_targets(self) -> DataFrame:
+        return alternates.alternate_targets(self.report_parts, self.groups)
+
+    @cached_property
+    def part_figures(self) -> DataFrame:
+        return alternate_sums.part_figures(
+            self.inventory_by_part,
+            movements.receipt_window_sums(self.receipts, self.p),
+            self.supply_this_week,
+            supply_plan.plan_sums(self.supply_plan_rows, self.p),
+        )
+
+    @cached_property
+    def alternate_sums(self) -> DataFrame:
+        return alternate_sums.alternate_sums(self.report_parts, self.groups, self.part_figures, self.alternate_targets)
+
     # E. Cost --------------------------------------------------------------
     @cached_property
     def po_line_versions(self) -> DataFrame:
@@ -213,11 +283,11 @@ class ReportStages:
 
     @cached_property
     def receipt_rates_alt(self) -> DataFrame:
-        return movements.receipt_rates_alt(self.report_parts, self.groups, self.receipts, self.p)
+        return movements.receipt_rates_alt(self.report_parts, self.alternate_sums, self.latest_receipt_alt, self.p)
 
     @cached_property
     def supply_this_week_alt(self) -> DataFrame:
-        return movements.supply_this_week_alt(self.report_parts, self.groups, self.supply_this_week)
+        return movements.supply_this_week_alt(self.alternate_sums)
 
     # G. Inventory ---------------------------------------------------------
     @cached_property
@@ -226,7 +296,7 @@ class ReportStages:
 
     @cached_property
     def inventory_alt(self) -> DataFrame:
-        return inventory.inventory_alt(self.report_parts, self.groups, self.inventory_by_part)
+        return inventory.inventory_alt(self.alternate_sums)
 
     # H. In transit --------------------------------------------------------
     @cached_property
@@ -328,9 +398,7 @@ class ReportStages:
 
     @cached_property
     def supply_plan_alt(self) -> DataFrame:
-        return supply_plan.supply_plan_alt(
-            self.report_parts, self.groups, self.supply_plan_rows, self.supply_this_week_alt, self.p
-        )
+        return supply_plan.supply_plan_alt(self.alternate_sums)
 
     # L. Report ------------------------------------------------------------
     @cached_property
@@ -368,17 +436,16 @@ class ReportStages:
         return report.publish(self.report_raw)
 
     # ----------------------------------------------------------------------
-    def persist_hot(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> None:
-        """Persist the stages many others read, before the first action.
-
-        Blocks lost with an executor are recomputed from lineage.
-        """
-        for name in HOT_STAGES:
-            df = getattr(self, name).persist(level)
-            self.__dict__[name] = df
-            self._persisted.append(df)
-
-    def unpersist(self) -> None:
+    def release(self) -> None:
+        """Drop persisted blocks and delete the stage tables this graph wrote."""
         for df in self._persisted:
             df.unpersist()
         self._persisted.clear()
+        if self._written:
+            spark = self.i.bom.sparkSession
+            jvm = spark.sparkContext._jvm
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            for path in self._written:
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(conf).delete(p, True)
+            self._written.clear()
