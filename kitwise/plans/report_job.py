@@ -8,12 +8,13 @@ command line over Parquet inputs with CSV or Parquet output.
 from __future__ import annotations
 
 import argparse
+import csv
 import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kitwise.params import ReportParams
+from kitwise.params import LocationRule, ReportParams
 from kitwise.plans.stages import ReportStages
 from kitwise.sources.sinks import default_output_name, write_csv, write_parquet
 from kitwise.sources.tables import INPUT_NAMES, ReportInputs, from_tables
@@ -50,9 +51,23 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--delimiter", default=",")
     ap.add_argument("--single-file", action="store_true", help="write one CSV part file")
     ap.add_argument("--raw", action="store_true", help="write the raw report instead of the published one")
+    ap.add_argument("--since", default="2025-01-01", help="first day of stock movements counted")
+    ap.add_argument("--buy-intent", default="company_buy", help="procurement intent of bought lines")
+    ap.add_argument(
+        "--location-rules",
+        default=None,
+        help="CSV file of ordered 'pattern,category' rows (SQL LIKE patterns, first match wins)",
+    )
     args = ap.parse_args(argv)
 
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
+    rules: tuple[LocationRule, ...] = ()
+    if args.location_rules:
+        with open(args.location_rules, newline="") as f:
+            rules = tuple(LocationRule(r[0], r[1]) for r in csv.reader(f) if r)
+    params = ReportParams(
+        as_of=as_of, since=dt.date.fromisoformat(args.since), buy_intent=args.buy_intent, location_rules=rules
+    )
     spark = SparkSession.builder.appName("kitwise-report").getOrCreate()
     inputs = from_tables(spark, {n: f"{args.input_dir}/{n}.parquet" for n in INPUT_NAMES}, fmt="parquet")
     out = args.output or default_output_name(as_of)
@@ -70,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             write_parquet(df, out, overwrite=args.overwrite)
 
-    run_report(inputs, ReportParams(as_of=as_of), sink, published=not args.raw)
+    run_report(inputs, params, sink, published=not args.raw)
 
 
 if __name__ == "__main__":

@@ -445,7 +445,8 @@ class ReportStages:
             spark = self.i.bom.sparkSession
             jvm = spark.sparkContext._jvm
             conf = spark.sparkContext._jsc.hadoopConfiguration()
-            for path in self._written:
+            run_dir = self._written[0].rsplit("/", 1)[0]
+            for path in [*self._written, run_dir]:
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(conf).delete(p, True)
             self._written.clear()
