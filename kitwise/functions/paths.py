@@ -36,16 +36,24 @@ def plain_path_inline(c: Column, pattern: str = REVISION_SEGMENT_PATTERN) -> Col
 
 
 def pipe_prefixes(c: Column) -> Column:
-    """Proper prefixes of a path that end in a pipe, plus ''.
+    """Proper prefixes of a path that end in a pipe, two characters or longer.
 
-    Every proper prefix ``A`` of the path has its *anchor* (``path_anchor``)
-    in this list, so an equi-join on anchor finds every prefix ancestor; the
-    exact ``startswith`` test runs as a residual on the few candidates.
+    Every proper prefix ``A`` of the path whose anchor (``path_anchor``) has
+    two or more characters finds that anchor in this list, so an equi-join on
+    the anchor finds every such prefix ancestor; the exact ``startswith`` test
+    runs as a residual on the few candidates. Anchors of '' and '|' (paths
+    with no inner pipe) would put every line of a root on one key, so they are
+    matched separately (``short_anchor``).
     """
     n = F.length(c)
-    ends = F.filter(F.sequence(F.lit(1), n - 1), lambda i: F.substring(c, i, 1) == F.lit("|"))
+    ends = F.filter(F.sequence(F.lit(2), n - 1), lambda i: F.substring(c, i, 1) == F.lit("|"))
     prefixes = F.transform(ends, lambda i: F.substring(c, F.lit(1), i))
-    return F.when(n > 1, F.concat(F.array(F.lit("")), prefixes)).otherwise(F.array(F.lit("")))
+    return F.when(n > 2, prefixes).otherwise(F.array().cast("array<string>"))
+
+
+def short_anchor(anchor: Column) -> Column:
+    """True for anchors that ``pipe_prefixes`` does not list ('' and '|')."""
+    return F.length(anchor) <= 1
 
 
 def path_anchor(c: Column) -> Column:

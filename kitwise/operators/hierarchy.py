@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kitwise.functions.dates import parse_mdy, week_start
 from kitwise.functions.math import safe_div
-from kitwise.functions.paths import path_anchor, pipe_prefixes, plain_path
+from kitwise.functions.paths import path_anchor, pipe_prefixes, plain_path, short_anchor
 from kitwise.functions.text import is_child_row, text_key
 from kitwise.params import ReportParams
 
@@ -127,7 +127,9 @@ def ancestor_usage(lines: DataFrame, children: DataFrame) -> DataFrame:
     Instead of joining every line with every line of its root on a prefix
     test, each line explodes its pipe-ending prefixes and meets the ancestors
     on (root, revision key, anchor): work is lines x depth, and the exact
-    prefix test runs as a residual on the candidates.
+    prefix test runs as a residual on the candidates. Ancestors whose anchor
+    is '' or '|' (no inner pipe) would be a key shared by every line of a
+    root; they meet the lines by root alone in a separate, tiny branch.
     """
     anc = lines.join(children, "part_number", "left_semi").select(
         F.col("part_number").alias("parent_part_number"),
@@ -143,16 +145,20 @@ def ancestor_usage(lines: DataFrame, children: DataFrame) -> DataFrame:
         text_key(F.col("top_level_revision")).alias("c_key"),
         F.col("path_without_revision").alias("c_plain"),
         F.coalesce(F.col("adjusted_quantity"), F.lit(0.0)).alias("c_qty"),
-        F.explode(pipe_prefixes(F.col("path_without_revision"))).alias("c_prefix"),
     )
-    cond = (
-        (child["c_root"] == anc["a_root"])
-        & (child["c_key"] == anc["a_key"])
-        & (child["c_prefix"] == anc["a_anchor"])
-        & child["c_plain"].startswith(anc["a_plain"])
-        & (child["c_plain"] != anc["a_plain"])
-    )
-    return child.join(anc, cond, "inner").select(
+    same_root = (child["c_root"] == F.col("a_root")) & (child["c_key"] == F.col("a_key"))
+    is_prefix = child["c_plain"].startswith(F.col("a_plain")) & (child["c_plain"] != F.col("a_plain"))
+
+    long_anc = anc.where(~short_anchor(F.col("a_anchor")))
+    by_anchor = child.select("*", F.explode(pipe_prefixes(F.col("c_plain"))).alias("c_prefix"))
+    main = by_anchor.join(
+        long_anc, same_root & (by_anchor["c_prefix"] == long_anc["a_anchor"]) & is_prefix, "inner"
+    ).drop("c_prefix")
+
+    short_anc = anc.where(short_anchor(F.col("a_anchor")))
+    rest = child.join(short_anc, same_root & is_prefix, "inner")
+
+    return main.unionByName(rest).select(
         "path",
         "parent_part_number",
         F.col("a_root").alias("top_level_bom"),
