@@ -26,16 +26,21 @@ def run_report(
     sink: Callable[[DataFrame], None],
     published: bool = True,
     materialize: str = "table",
+    sort_by_path: bool = True,
 ) -> None:
     """Build the report and hand it to ``sink``.
 
     The stages many others read are written once as tables under the
     session's checkpoint directory (``materialize="table"``) and deleted when
-    the sink is done.
+    the sink is done. Rows are ordered by path, as the report is published
+    (a range-partitioned sort at the sink only).
     """
     stages = ReportStages(inputs, params, materialize=materialize)
     try:
-        sink(stages.report_final if published else stages.report_raw)
+        df = stages.report_final if published else stages.report_raw
+        if sort_by_path:
+            df = df.orderBy(df.columns[0])
+        sink(df)
     finally:
         stages.release()
 
