@@ -53,3 +53,52 @@ def test_sum_over_alternates_matches_pairs(spark, groups, values):
         rel = set().union(*gs) if gs else {b}
         vals = [float(values[r]) for r in rel if r in values]
         assert lat.get(b) == (max(vals) if vals else None)
+
+
+def _components(sets):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for s in sets:
+        for p in s:
+            find(p)
+        for p in s[1:]:
+            a, b = find(s[0]), find(p)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    comp = {p: find(p) for p in parent}
+    sizes = {}
+    for c in comp.values():
+        sizes[c] = sizes.get(c, 0) + 1
+    return {p: (min(q for q in comp if comp[q] == c), sizes[c]) for p, c in comp.items()}
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(PARTS),
+            st.lists(st.sampled_from(PARTS), max_size=3),
+            st.lists(st.sampled_from(PARTS), max_size=2),
+        ),
+        min_size=1,
+        max_size=8,
+    )
+)
+def test_alternate_components_match_union_find(spark, rows):
+    from kitwise.operators.components import alternate_components
+
+    df = spark.createDataFrame(
+        [(p, ", ".join(a), ",".join(g), None) for p, a, g in rows],
+        "part_number string, alternates_text string, global_alternate_part_numbers string, "
+        "substitute_part_numbers string",
+    )
+    got = {r["part_number"]: (r["component"], r["component_size"]) for r in alternate_components(df).collect()}
+    sets = [sorted({p, *a, *g}, key=lambda x: ([p, *a, *g].index(x))) for p, a, g in rows]
+    assert got == _components(sets)
