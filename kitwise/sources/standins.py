@@ -12,6 +12,7 @@ The same derivations exist as DuckDB SQL in ``oracle/standins.py``.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -434,5 +435,29 @@ class StandIns(ReportInputs):
         return p.select(F.col("p_partkey").alias("id"), (F.col("p_size") % 4).cast("double").alias("factor"))
 
 
-def load(spark: SparkSession, sf_dir: str) -> StandIns:
-    return StandIns(spark, sf_dir)
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> ReportInputs:
+    """The stand-in inputs of ``sf_dir``.
+
+    With ``materialize`` they are derived once per application and written as
+    Parquet under the session's checkpoint directory, so queries read them as
+    the plain input tables a production run has (small plans, parallel
+    scans). Without it every query derives them from the test tables itself.
+    """
+    raw = StandIns(spark, sf_dir)
+    if not materialize:
+        return raw
+    from kitwise.plans.session import ensure_checkpoint_dir
+    from kitwise.sources.tables import INPUT_NAMES, TableInputs
+
+    key = (spark.sparkContext.applicationId, raw.sf_dir)
+    if key not in _WRITTEN:
+        tag = hashlib.sha1(raw.sf_dir.encode()).hexdigest()[:10]
+        base = f"{ensure_checkpoint_dir(spark)}/kitwise-inputs/{tag}"
+        for n in INPUT_NAMES:
+            getattr(raw, n).write.mode("overwrite").parquet(f"{base}/{n}")
+        _WRITTEN[key] = base
+    base = _WRITTEN[key]
+    return TableInputs(**{n: spark.read.parquet(f"{base}/{n}") for n in INPUT_NAMES})
