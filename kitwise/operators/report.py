@@ -279,11 +279,18 @@ PUBLISHED_COLUMNS = (
 
 
 def publish(raw: DataFrame) -> DataFrame:
-    """The 76 published columns, numeric metrics with NULL as 0."""
+    """The 76 published columns, numeric metrics with NULL as 0.
+
+    A raw column that is missing (a raw frame from elsewhere) is published as
+    NULL, or 0 where NULL becomes 0.
+    """
+    have = set(raw.columns)
     cols = []
     for name, src, zero in PUBLISHED_COLUMNS:
-        c = F.col(src)
+        c = F.col(src) if src in have else F.lit(None)
         if zero:
             c = F.coalesce(c.cast("double"), F.lit(0.0))
+        elif src not in have:
+            c = c.cast("string")
         cols.append(c.alias(name))
     return raw.select(*cols)
