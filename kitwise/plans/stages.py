@@ -43,7 +43,9 @@ HOT_STAGES = (
     "alternate_targets",
     "root_demand_by_type",
     "root_weekly_demand",
+    "po_line_latest",
     "part_cost",
+    "ancestor_usage",
     "inventory_by_part",
     "in_transit",
     "part_net_demand",
