@@ -44,6 +44,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus)
     times: dict[str, float] = {}
+    # Derive the stand-in inputs from the test tables once (as Parquet input
+    # tables); every query below reads them. Counted in the total.
+    t = time.perf_counter()
+    standins.load(spark, sf_dir)
+    times["inputs"] = round(time.perf_counter() - t, 3)
     for name in HEADLINE:
         t = time.perf_counter()
         _run(query(name)(spark, sf_dir))
