@@ -53,7 +53,7 @@ def main() -> None:
         t = time.perf_counter()
         _run(query(name)(spark, sf_dir))
         times[name] = round(time.perf_counter() - t, 3)
-    # The whole report, as a job: hot stages persisted, 76 published columns.
+    # The whole report as a job: shared stages written once, 76 published columns.
     t = time.perf_counter()
     run_report(standins.load(spark, sf_dir), standins.PARAMS, sink=_run)
     times["report_final"] = round(time.perf_counter() - t, 3)
