@@ -32,11 +32,11 @@ WITH RECURSIVE w AS (
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), common AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
   GROUP BY ALL
 ), link AS (
   SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
-  WHERE 100 * both >= 85 * (p.n + q.n - both)
+  WHERE 100 * n_both >= 85 * (p.n + q.n - n_both)
 ), edge AS (
   SELECT x, y FROM link UNION ALL SELECT y, x FROM link
 ), reach AS (
