@@ -110,15 +110,19 @@ def judge(
     depth: int = 4,
     default: str = ALLOW,
     seed: int = 3,
+    hold_out: Column | None = None,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, block_score) for each row of ``pages``.
 
-    ``block_score`` is the trees' probability of a block, null where a rule decides.
+    ``block_score`` is the trees' probability of a block, null where a rule
+    decides. Rules don't decide rows of ``hold_out``, to measure the trees.
     """
     scratch = Scratch(pages.sparkSession)
     host, path = host_and_path(F.col(url_col))
-    base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
+    base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"), *([hold_out.alias("hold_out")] if hold_out is not None else []))
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
+    if hold_out is not None:
+        rule, says = (F.when(~F.col("hold_out"), c) for c in (rule, says))
     base = base.withColumns({"rule": rule, "says": says})
     labelled = base.where("says is not null").groupBy("url", "host", "path").agg(F.max("says").alias("says"))
     sample = labelled.orderBy(F.xxhash64("url"), "url").limit(max_train)

@@ -110,7 +110,7 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     for j in range(k):
         has = left > j
         part = np.zeros(n, np.uint64)
-        part[: n - j] = h[j:]
+        part[: max(n - j, 0)] = h[j:]
         step = mix(part + np.uint64((j + 1) * 0xD6E8FEB86659FD93 & _M64))
         value = np.where(has, mix(value + step) if j else step, value)
     keep = (left >= k) | ((place == 0) & (words.counts[doc] < k))
