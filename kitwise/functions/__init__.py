@@ -10,7 +10,6 @@ from kitwise.functions.text import (
     not_text_true,
     split_part_list,
     text_key,
-    truthy,
 )
 
 __all__ = [
@@ -33,7 +32,6 @@ __all__ = [
     "short_anchor",
     "split_part_list",
     "text_key",
-    "truthy",
     "week_offset",
     "week_start",
 ]

@@ -18,21 +18,16 @@ def plain_path(c: Column, pattern: str = REVISION_SEGMENT_PATTERN) -> Column:
 
 
 def plain_path_inline(c: Column, pattern: str = REVISION_SEGMENT_PATTERN) -> Column:
-    """Path normalizer that also knows the ``PART:REVx`` inline form.
+    """Path without revisions, whichever of the two forms the path has.
 
-    Inline revisions are cut out and the result loses its edge pipes;
-    otherwise revision segments are cut and edge pipes are kept as in the
-    input. Runs of pipes collapse to one. NULL and '' pass through.
+    A path with inline revisions (``PART:REVx``) gives its parts joined by
+    single pipes, without edge pipes; any other path loses its revision
+    segments and its repeated pipes. NULL and '' stay as they are.
     """
-    inline = c.rlike(INLINE_REVISION_PATTERN)
-    cut = F.regexp_replace(c, INLINE_REVISION_PATTERN, "")
-    cut = F.when(inline, cut).otherwise(F.regexp_replace(cut, pattern, "|"))
-    cut = F.regexp_replace(cut, r"\|{2,}", "|")
-    inline_form = F.regexp_replace(cut, r"^\|+|\|+$", "")
-    lead = F.when(c.startswith("|") & ~cut.startswith("|"), F.lit("|")).otherwise(F.lit(""))
-    trail = F.when(c.endswith("|") & ~cut.endswith("|"), F.lit("|")).otherwise(F.lit(""))
-    segment_form = F.concat(lead, cut, trail)
-    return F.when(c.isNull() | (c == ""), c).when(inline, inline_form).otherwise(segment_form)
+    parts = F.filter(F.split(F.regexp_replace(c, INLINE_REVISION_PATTERN, ""), r"\|"), lambda x: x != "")
+    return F.when(c.rlike(INLINE_REVISION_PATTERN), F.array_join(parts, "|")).otherwise(
+        F.regexp_replace(plain_path(c, pattern), r"\|+", "|")
+    )
 
 
 def pipe_prefixes(c: Column) -> Column:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kitwise.params import TRUTHY_TEXTS
-
 
 def text_key(c: Column) -> Column:
     """Join key where NULL and '' are the same value."""
@@ -19,13 +17,9 @@ def is_child_row(parent: Column, indent: Column) -> Column:
 
 
 def not_text_true(c: Column) -> Column:
-    """True unless the text parses as boolean true (NULL and junk are false)."""
-    return ~F.coalesce(c.cast("string").try_cast("boolean"), F.lit(False))
-
-
-def truthy(c: Column) -> Column:
-    """Lenient text boolean: true, 1, yes, y (trimmed, any case)."""
-    return F.coalesce(F.lower(F.trim(c)).isin(*TRUTHY_TEXTS), F.lit(False))
+    """True unless the text parses as boolean true (t, true, y, yes, on, 1; NULL and junk are false)."""
+    text = c.cast("string")
+    return ~F.coalesce(text.try_cast("boolean") | (F.lower(F.trim(text)) == "on"), F.lower(F.trim(text)) == "on", F.lit(False))
 
 
 def split_part_list(c: Column) -> Column:

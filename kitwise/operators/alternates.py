@@ -18,8 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kitwise.functions.text import split_part_list  # noqa: F401  (re-exported helper)
-
 
 def alternate_groups(sheet: DataFrame, text_col: str = "part_numbers", id_col: str = "row_id") -> DataFrame:
     """Distinct (group, position, trimmed part); blanks dropped, positions kept."""
@@ -66,17 +64,19 @@ def alternate_bridge(base: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def alternates_text(base: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Sorted, ', '-joined related parts other than the part itself ('' if none)."""
-    others = bridge.where(F.col("related_part_number") != F.col("base_part_number"))
-    j = base.select("part_number").join(
-        others, F.col("part_number") == others["base_part_number"], "left"
-    )
-    return j.groupBy("part_number").agg(
-        F.coalesce(
-            F.array_join(F.sort_array(F.collect_list("related_part_number")), ", "), F.lit("")
-        ).alias("alternates_text")
-    )
+def alternates_text(base: DataFrame, groups: DataFrame) -> DataFrame:
+    """Sorted, ', '-joined related parts other than the part itself ('' if none).
+
+    Each group's members are one array; a part puts together the arrays of its
+    own groups, so no pair list is made.
+    """
+    mem = _members(groups)
+    lists = mem.groupBy("group_id").agg(F.collect_set("part_number").alias("_parts"))
+    per = base.select("part_number").distinct().join(mem, "part_number").join(lists, "group_id")
+    per = per.groupBy("part_number").agg(F.array_distinct(F.flatten(F.collect_list("_parts"))).alias("_parts"))
+    others = F.filter(F.col("_parts"), lambda x: x != F.col("part_number"))
+    text = F.coalesce(F.array_join(F.sort_array(others), ", "), F.lit(""))
+    return base.select("part_number").join(per, "part_number", "left").select("part_number", text.alias("alternates_text"))
 
 
 def alternate_targets(base: DataFrame, groups: DataFrame) -> DataFrame:

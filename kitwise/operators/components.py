@@ -2,10 +2,11 @@
 
 ``alternate_components`` merges every alternate set that shares a part into
 one component (the report's pandas path does this for its fallback columns).
-It runs as min-label propagation over a star graph (each set links its parts
-to its first part), with pointer jumping so long chains converge in few
-rounds. Each round's labels are checkpointed to the session's checkpoint
-directory, which cuts the lineage and survives the loss of an executor.
+Each set is a star from its parts to its first part. Large-star and small-star
+steps take turns until nothing changes: every part above the smallest of its
+neighbours is hung below that one, so a chain of any length shrinks by a
+constant factor a round. Each round is a table that the next one reads, so
+plans and size estimates start anew, and the round before is deleted.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kitwise.functions.text import split_part_list
+from kitwise.plans.scratch import Folder
 
 
 def _part_sets(rows: DataFrame, text_cols: Sequence[str]) -> DataFrame:
@@ -25,58 +27,54 @@ def _part_sets(rows: DataFrame, text_cols: Sequence[str]) -> DataFrame:
     return rows.where(F.col("part_number").isNotNull()).select(parts.alias("parts"))
 
 
+def _hang_large(links: DataFrame) -> DataFrame:
+    """Each larger neighbour of a part is linked to the smallest of the part and its neighbours."""
+    sides = links.unionByName(links.select(F.col("low").alias("part"), F.col("part").alias("low")))
+    least = sides.groupBy("part").agg(F.min("low").alias("_min")).select("part", F.least("part", "_min").alias("_min"))
+    hung = sides.where(F.col("low") > F.col("part")).join(least, "part")
+    return hung.select(F.col("low").alias("part"), F.col("_min").alias("low")).distinct()
+
+
+def _hang_small(links: DataFrame) -> DataFrame:
+    """A part and its smaller neighbours are linked to the smallest of them."""
+    least = links.groupBy("part").agg(F.min("low").alias("_min"))
+    others = links.join(least, "part").where(F.col("low") != F.col("_min"))
+    return least.select("part", F.col("_min").alias("low")).unionByName(
+        others.select(F.col("low").alias("part"), F.col("_min").alias("low"))
+    ).distinct()
+
+
+def _print_of(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("part", "low"))).first())
+
+
 def alternate_components(
     rows: DataFrame,
     text_cols: Sequence[str] = ("alternates_text", "global_alternate_part_numbers", "substitute_part_numbers"),
-    max_rounds: int = 64,
 ) -> DataFrame:
     """Component of every part: (part_number, component, component_size).
 
     ``component`` is the smallest part number of the component. Parts of
     ``rows`` that share no set with another part are their own component.
     """
-    spark = rows.sparkSession
-    from kitwise.plans.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    sets = _part_sets(rows, text_cols)
-    star = sets.where(F.size("parts") > 1).select(
-        F.explode("parts").alias("a"), F.element_at("parts", 1).alias("b")
-    )
-    edges = star.where(F.col("a") != F.col("b"))
-    # The graph is read once per round: materialize it once.
-    edges = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    nodes = sets.select(F.explode("parts").alias("node")).distinct()
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint()
-
-    for _ in range(max_rounds):
-        nb = edges.join(labels.select(F.col("node").alias("b"), F.col("label").alias("nb_label")), "b")
-        cand = nb.groupBy(F.col("a").alias("node")).agg(F.min("nb_label").alias("cand"))
-        step = labels.join(cand, "node", "left").select(
-            "node", F.least(F.col("label"), F.coalesce(F.col("cand"), F.col("label"))).alias("label")
-        )
-        # Pointer jumping: adopt the label of your label.
-        hop = step.select(F.col("node").alias("_ln"), F.col("label").alias("_ll"))
-        jumped = step.join(hop, step["label"] == hop["_ln"], "left").select(
-            "node", F.least(F.col("label"), F.coalesce(F.col("_ll"), F.col("label"))).alias("label")
-        )
-        new = jumped.checkpoint()
-        changed = (
-            new.join(labels.withColumnRenamed("label", "_old"), "node")
-            .where(F.col("label") != F.col("_old"))
-            .limit(1)
-            .count()
-        )
-        labels = new
-        if changed == 0:
+    folder = Folder(rows.sparkSession, "kitwise-components")
+    sets = folder.write(_part_sets(rows, text_cols), "sets")
+    star = sets.select(F.explode("parts").alias("a"), F.element_at("parts", 1).alias("b")).where(F.col("a") != F.col("b"))
+    links = folder.write(star.select(F.greatest("a", "b").alias("part"), F.least("a", "b").alias("low")).distinct(), "round-0")
+    seen, turn = _print_of(links), 0
+    while True:
+        turn += 1
+        following = folder.write(_hang_small(_hang_large(links)), f"round-{turn}")
+        now = _print_of(following)
+        folder.delete(f"round-{turn - 1}")
+        links = following
+        if now == seen:
             break
-    else:
-        raise RuntimeError(f"alternate components did not converge in {max_rounds} rounds")
-
-    sizes = labels.groupBy(F.col("label").alias("component")).agg(F.count("*").alias("component_size"))
-    return labels.join(sizes, labels["label"] == sizes["component"]).select(
-        F.col("node").alias("part_number"), "component", "component_size"
-    )
+        seen = now
+    nodes = sets.select(F.explode("parts").alias("part")).distinct()
+    labels = nodes.join(links, "part", "left").select("part", F.coalesce("low", "part").alias("component"))
+    sizes = labels.groupBy("component").agg(F.count("*").alias("component_size"))
+    return labels.join(sizes, "component").select(F.col("part").alias("part_number"), "component", "component_size")
 
 
 def direct_parent_on_hand(rows: DataFrame, on_hand_col: str = "on_hand", usage_col: str = "quantity") -> DataFrame:
@@ -93,11 +91,11 @@ def direct_parent_on_hand(rows: DataFrame, on_hand_col: str = "on_hand", usage_c
     parent_oh = (
         rows.where(F.col("part_number").isNotNull())
         .groupBy(F.col("part_number").alias("_parent"))
-        .agg(F.max(F.coalesce(F.col(on_hand_col).cast("double"), F.lit(0.0))).alias("_parent_on_hand"))
+        .agg(F.max(F.coalesce(F.col(on_hand_col).try_cast("double"), F.lit(0.0))).alias("_parent_on_hand"))
         .join(children, F.col("_parent") == F.col("_assembly"), "left_semi")
     )
     j = rows.join(parent_oh, rows["parent_bom"] == parent_oh["_parent"], "left")
-    usage = F.coalesce(F.col(usage_col).cast("double"), F.lit(0.0))
+    usage = F.coalesce(F.col(usage_col).try_cast("double"), F.lit(0.0))
     return j.select(
         "path",
         "part_number",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kitwise.functions.text import text_key
-from kitwise.params import COST_SOURCE_FORECAST, COST_SOURCE_PO, UNIT_PRICE_DIVISOR, ReportParams
+from kitwise.params import UNIT_PRICE_DIVISOR, ReportParams
 
 PO_LINE_COLUMNS = (
     "id",
@@ -127,7 +127,7 @@ def forecast_cost(sheet: DataFrame, p: ReportParams) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select("part_number", "unit_cost")
 
 
-def part_cost(po_cost: DataFrame, forecast: DataFrame) -> DataFrame:
+def part_cost(po_cost: DataFrame, forecast: DataFrame, p: ReportParams) -> DataFrame:
     """PO cost unless missing or 0, else forecast; with the source label."""
     zp = po_cost.select(F.col("part_number").alias("_zp_part"), F.col("unit_cost").alias("_zp_cost"))
     fc = forecast.select(F.col("part_number").alias("_fc_part"), F.col("unit_cost").alias("_fc_cost"))
@@ -136,7 +136,7 @@ def part_cost(po_cost: DataFrame, forecast: DataFrame) -> DataFrame:
     return j.select(
         F.coalesce(F.col("_zp_part"), F.col("_fc_part")).alias("part_number"),
         F.coalesce(po_ok, F.col("_fc_cost")).alias("unit_cost"),
-        F.when(po_ok.isNotNull(), F.lit(COST_SOURCE_PO))
-        .when(F.col("_fc_cost").isNotNull(), F.lit(COST_SOURCE_FORECAST))
+        F.when(po_ok.isNotNull(), F.lit(p.po_cost_label))
+        .when(F.col("_fc_cost").isNotNull(), F.lit(p.forecast_cost_label))
         .alias("unit_cost_source"),
     )

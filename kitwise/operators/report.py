@@ -289,7 +289,7 @@ def publish(raw: DataFrame) -> DataFrame:
     for name, src, zero in PUBLISHED_COLUMNS:
         c = F.col(src) if src in have else F.lit(None)
         if zero:
-            c = F.coalesce(c.cast("double"), F.lit(0.0))
+            c = F.coalesce(c.try_cast("double"), F.lit(0.0))  # text that is no number counts as NULL
         elif src not in have:
             c = c.cast("string")
         cols.append(c.alias(name))

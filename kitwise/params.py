@@ -79,8 +79,8 @@ INLINE_REVISION_PATTERN = ":REV[A-Za-z0-9]+"
 # Unit price is stored in millionths of a cent.
 UNIT_PRICE_DIVISOR = 100000000.0
 
-# Unit cost source labels.
-COST_SOURCE_PO = "latest_zerp_po"
+# Default labels of a unit cost's source.
+COST_SOURCE_PO = "latest_purchase_order"
 COST_SOURCE_FORECAST = "q2_unit_cost_forecast"
 
 # Weekly spine: offsets 0..103.
@@ -101,9 +101,6 @@ SHIPMENT_BANDS = (
     "< 50% of total demand past 8 weeks",
 )
 
-# Truthy texts of the pandas-side boolean reader.
-TRUTHY_TEXTS = ("true", "1", "yes", "y")
-
 # ---------------------------------------------------------------------------
 
 
@@ -179,6 +176,8 @@ class ReportParams:
     unknown_category: str = UNKNOWN
     columns: SourceColumns = field(default_factory=SourceColumns)
     shipments: ShipmentFields = field(default_factory=ShipmentFields)
+    po_cost_label: str = COST_SOURCE_PO
+    forecast_cost_label: str = COST_SOURCE_FORECAST
 
     @property
     def week0(self) -> dt.date:

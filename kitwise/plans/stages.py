@@ -7,7 +7,6 @@ materialized once on first use, which keeps every later plan small.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -29,7 +28,7 @@ from kitwise.operators import (
     transit,
 )
 from kitwise.params import ReportParams
-from kitwise.plans.session import ensure_checkpoint_dir
+from kitwise.plans.scratch import Folder
 from kitwise.sources.tables import ReportInputs
 
 # Stages read by several others in a full report run; all but the first four
@@ -68,8 +67,7 @@ class ReportStages:
         self.p = params
         self.materialize = materialize
         self._persisted: list[DataFrame] = []
-        self._written: list[str] = []
-        self._run_id = uuid.uuid4().hex[:12]
+        self._folder: Folder | None = None
 
     def __getattribute__(self, name: str):
         value = object.__getattribute__(self, name)
@@ -87,11 +85,9 @@ class ReportStages:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(df)
             return df
-        spark = df.sparkSession
-        path = f"{ensure_checkpoint_dir(spark)}/kitwise-stages/{self._run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        self._written.append(path)
-        return spark.read.parquet(path)
+        if self._folder is None:
+            self._folder = Folder(df.sparkSession, "kitwise-stages")
+        return self._folder.write(df, name)
 
     # A. Hierarchy ---------------------------------------------------------
     @cached_property
@@ -204,7 +200,7 @@ class ReportStages:
 
     @cached_property
     def alternates_text(self) -> DataFrame:
-        return alternates.alternates_text(self.report_parts, self.alternate_bridge)
+        return alternates.alternates_text(self.report_parts, self.groups)
 
     @cached_property
     def alternate_targets(self) -> DataFrame:
@@ -223,6 +219,14 @@ class ReportStages:
     def alternate_sums(self) -> DataFrame:
         return alternate_sums.alternate_sums(self.report_parts, self.groups, self.part_figures, self.alternate_targets)
 
+    def _over_alternates(self, figures: DataFrame, columns: list[str]) -> DataFrame:
+        """One source's figures summed over alternates; a report run sums all sources in one pass instead."""
+        if self.materialize:
+            return self.alternate_sums
+        return alternates.sum_over_alternates(
+            self.report_parts, self.groups, figures, columns, targets=self.alternate_targets
+        )
+
     # E. Cost --------------------------------------------------------------
     @cached_property
     def po_line_versions(self) -> DataFrame:
@@ -249,7 +253,7 @@ class ReportStages:
 
     @cached_property
     def part_cost(self) -> DataFrame:
-        return cost.part_cost(self.latest_part_cost, self.forecast_cost)
+        return cost.part_cost(self.latest_part_cost, self.forecast_cost, self.p)
 
     # F. Movements ---------------------------------------------------------
     @cached_property
@@ -285,11 +289,13 @@ class ReportStages:
 
     @cached_property
     def receipt_rates_alt(self) -> DataFrame:
-        return movements.receipt_rates_alt(self.report_parts, self.alternate_sums, self.latest_receipt_alt, self.p)
+        figures = movements.receipt_window_sums(self.receipts, self.p)
+        sums = self._over_alternates(figures, ["received_4w", "received_8w"])
+        return movements.receipt_rates_alt(self.report_parts, sums, self.latest_receipt_alt, self.p)
 
     @cached_property
     def supply_this_week_alt(self) -> DataFrame:
-        return movements.supply_this_week_alt(self.alternate_sums)
+        return movements.supply_this_week_alt(self._over_alternates(self.supply_this_week, ["current_week_supply"]))
 
     # G. Inventory ---------------------------------------------------------
     @cached_property
@@ -298,7 +304,9 @@ class ReportStages:
 
     @cached_property
     def inventory_alt(self) -> DataFrame:
-        return inventory.inventory_alt(self.alternate_sums)
+        columns = list(inventory.INVENTORY_METRICS)
+        figures = self.inventory_by_part.fillna(0.0, columns)
+        return inventory.inventory_alt(self._over_alternates(figures, columns))
 
     # H. In transit --------------------------------------------------------
     @cached_property
@@ -400,7 +408,11 @@ class ReportStages:
 
     @cached_property
     def supply_plan_alt(self) -> DataFrame:
-        return supply_plan.supply_plan_alt(self.alternate_sums)
+        if self.materialize:
+            return supply_plan.supply_plan_alt(self.alternate_sums)
+        plans = self._over_alternates(supply_plan.plan_sums(self.supply_plan_rows, self.p), ["_plan4", "_plan8"])
+        supply = self._over_alternates(self.supply_this_week, ["current_week_supply"])
+        return supply_plan.supply_plan_alt(plans.join(supply, "part_number"))
 
     # L. Report ------------------------------------------------------------
     @cached_property
@@ -443,12 +455,6 @@ class ReportStages:
         for df in self._persisted:
             df.unpersist()
         self._persisted.clear()
-        if self._written:
-            spark = self.i.bom.sparkSession
-            jvm = spark.sparkContext._jvm
-            conf = spark.sparkContext._jsc.hadoopConfiguration()
-            run_dir = self._written[0].rsplit("/", 1)[0]
-            for path in [*self._written, run_dir]:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
-            self._written.clear()
+        if self._folder is not None:
+            self._folder.delete()
+            self._folder = None

@@ -282,7 +282,7 @@ class StandIns(ReportInputs):
             k.alias("row_id"),
             F.concat(pnum(k), F.lit(", "), pnum(k + 1), F.lit(","), pnum(k + 2)).alias("part_numbers"),
         )
-        chains = part.where((k % 15 == 0) & (k % 150 != 135)).select(
+        chains = part.where(k % 15 == 0).select(
             (k + 1000000).alias("row_id"),
             F.concat(pnum(k + 2), F.lit(", "), pnum(k + 15)).alias("part_numbers"),
         )
@@ -310,7 +310,7 @@ class StandIns(ReportInputs):
         li = self._t("lineitem")
         d = F.col("l_shipdate")
         md = F.date_format(d, "MM/dd")
-        return li.where((F.year(d) == 1998) & (F.col("l_linenumber") <= 2)).select(
+        return li.where(F.year(d) == 1998).select(
             pnum(F.col("l_partkey")).alias("part_number"),
             F.col("l_quantity").alias("quantity"),
             F.when(F.col("l_orderkey") % 50 == 0, F.lit("13/45"))

@@ -149,7 +149,7 @@ SELECT p_partkey AS row_id, {_pnum('p_partkey')} || ', ' || {_pnum('p_partkey +
 FROM part WHERE p_partkey % 15 = 0
 UNION ALL
 SELECT p_partkey + 1000000, {_pnum('p_partkey + 2')} || ', ' || {_pnum('p_partkey + 15')}
-FROM part WHERE p_partkey % 15 = 0 AND p_partkey % 150 <> 135
+FROM part WHERE p_partkey % 15 = 0
 UNION ALL
 {literal}"""
 
@@ -192,7 +192,7 @@ SELECT {_pnum('l_partkey')} AS part_number, l_quantity AS quantity,
        CASE WHEN l_orderkey % 50 = 0 THEN '13/45'
             WHEN l_linenumber = 2 THEN ' ' || strftime(l_shipdate, '%m/%d')
             ELSE strftime(l_shipdate, '%m/%d') END AS date
-FROM lineitem WHERE year(l_shipdate) = 1998 AND l_linenumber <= 2""",
+FROM lineitem WHERE year(l_shipdate) = 1998""",
     "in_stock_location": _locations(),
     "in_stock_move": """
 SELECT l_shipdate AS date, l_partkey AS product_id, l_suppkey AS location_id,

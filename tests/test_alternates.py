@@ -102,3 +102,16 @@ def test_alternate_components_match_union_find(spark, rows):
     got = {r["part_number"]: (r["component"], r["component_size"]) for r in alternate_components(df).collect()}
     sets = [sorted({p, *a, *g}, key=lambda x: ([p, *a, *g].index(x))) for p, a, g in rows]
     assert got == _components(sets)
+
+
+def test_long_chain_is_one_component(spark):
+    """A chain of 500 parts, its smallest label at one end and the others falling towards it."""
+    from kitwise.operators.components import alternate_components
+
+    names = ["A0000", *[f"P{9999 - i}" for i in range(499)]]
+    rows = [(a, b, None, None) for a, b in zip(names, names[1:], strict=False)]
+    df = spark.createDataFrame(
+        rows, "part_number string, alternates_text string, global_alternate_part_numbers string, substitute_part_numbers string"
+    )
+    got = alternate_components(df).collect()
+    assert len(got) == 500 and {(r["component"], r["component_size"]) for r in got} == {("A0000", 500)}

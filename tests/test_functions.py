@@ -16,7 +16,6 @@ from kitwise.functions import (
     plain_path_inline,
     short_anchor,
     split_part_list,
-    truthy,
     week_start,
 )
 
@@ -26,15 +25,15 @@ def one(spark, col, value, dtype="string"):
 
 
 def test_plain_path_drops_revision_segments(spark):
-    assert one(spark, plain_path, "|20000-007|E|0109350-000|A|") == "|20000-007|0109350-000|"
+    assert one(spark, plain_path, "|PUMP|A1|ROTOR-9|B|") == "|PUMP|ROTOR-9|"
     # Non-overlapping: the pipe eaten by |A| is not available to |B|.
-    assert one(spark, plain_path, "|X1234|A|B|") == "|X1234|B|"
+    assert one(spark, plain_path, "|MOTOR7|A|B|") == "|MOTOR7|B|"
 
 
 def test_plain_path_inline_form(spark):
-    assert one(spark, plain_path_inline, "ABC:REV1|DEF:REV2") == "ABC|DEF"
-    assert one(spark, plain_path_inline, "|ABC:REV1||DEF:REV2|||") == "ABC|DEF"
-    assert one(spark, plain_path_inline, "|20000-007|E|0109350-000|A|") == "|20000-007|0109350-000|"
+    assert one(spark, plain_path_inline, "PUMP:REV2|ROTOR:REVB") == "PUMP|ROTOR"
+    assert one(spark, plain_path_inline, "||PUMP:REV2|||ROTOR:REV3|") == "PUMP|ROTOR"
+    assert one(spark, plain_path_inline, "|PUMP|A1|ROTOR-9|B|") == "|PUMP|ROTOR-9|"
     assert one(spark, plain_path_inline, "") == ""
     assert one(spark, plain_path_inline, None) is None
 
@@ -48,9 +47,8 @@ def test_status_normalizer(spark):
 def test_text_booleans(spark):
     vals = ["yes", "T", "1", "false", "on", None, "junk"]
     df = spark.createDataFrame([(v,) for v in vals], "x string")
-    rows = df.select(not_text_true(F.col("x")).alias("n"), truthy(F.col("x")).alias("t")).collect()
-    assert [r["n"] for r in rows] == [False, False, False, True, True, True, True]
-    assert [r["t"] for r in rows] == [True, False, True, False, False, False, False]
+    rows = df.select(not_text_true(F.col("x")).alias("n")).collect()
+    assert [r["n"] for r in rows] == [False, False, False, True, False, True, True]
 
 
 def test_split_part_list(spark):
@@ -76,14 +74,23 @@ def test_coverage_rule(spark):
     assert _cov_sum(spark, 0, [0, 5]) == 1.0
 
 
+# Every rule, with either kind of stock location, and pairs that no rule names.
+STOCKS = ("Warehouse", "Receiving & Pre-IQC")
+INTO = {
+    "Vendors": ("New Supply", 1), "Nest": ("RMA Supply", 1), "Production": ("Production Consumption", -1),
+    "Scrap": ("QC Loss Consumption", -1), "Quarantine": ("QC Loss Consumption", -1), "R&D": ("R&D Supply", 1),
+}
+OUT_OF = {
+    "Vendors": ("New Supply", -1), "Nest": ("Nest Consumption", 1), "Production": ("Production Consumption", 1),
+    "Scrap": ("QC Loss Consumption", 1), "Quarantine": ("QC Loss Consumption", 1), "R&D": ("R&D Consumption", 1),
+}
 MOVES = [
-    ("Vendors", "Warehouse", 5.0, "New Supply", 5.0),
-    ("Production", "Warehouse", 3.0, "Production Consumption", -3.0),
-    ("Vendors", "Receiving & Pre-IQC", 5.0, "New Supply", 5.0),
-    ("Receiving & Pre-IQC", "Production", 3.0, "Production Consumption", 3.0),
-    ("Production", "Receiving & Pre-IQC", 2.0, "Production Consumption", -2.0),
-    ("Unknown", "Unknown", 7.0, "Unknown", None),
-    (None, "Warehouse", 7.0, "Unknown", None),
+    *[(place, s, 4.0, name, 4.0 * sign) for place, (name, sign) in INTO.items() for s in STOCKS],
+    *[(s, place, 4.0, name, 4.0 * sign) for place, (name, sign) in OUT_OF.items() for s in STOCKS],
+    ("Warehouse", "Receiving & Pre-IQC", 2.0, "Unknown", None),
+    ("Nest", "Scrap", 2.0, "Unknown", None),
+    ("Unknown", "Warehouse", 2.0, "Unknown", None),
+    (None, "Warehouse", 2.0, "Unknown", None),
 ]
 
 
