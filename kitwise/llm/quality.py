@@ -6,9 +6,9 @@ word shapes (runs of letter case, digits and signs), pairs of neighbouring
 shapes, repeats of the word before, and the share of distinct words.
 
 Training reads a bounded sample: the ``max_train`` labelled documents with the
-smallest id hashes. Their features are written once; every step of L-BFGS is a
-Spark job that sums loss and gradient over the table's parts, a fixed number.
-Scoring reads every text whole.
+smallest id hashes. Their features are made where the texts are and written;
+one task then reads them (at most ``max_train`` documents, whatever the corpus)
+and fits the model by L-BFGS. Scoring reads every text whole.
 
 Edge cases: a null, empty or wordless text has no features and gets the grade
 the thresholds alone give. Labels that are null count for nothing; an id with
@@ -33,8 +33,6 @@ from kitwise.llm.words import Words, batches, mix, span_hashes
 
 #: Hashed feature places (a power of two).
 DIM = 1 << 18
-#: Parts of the training table.
-PARTS = 6
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58], _CLASS[128:] = 97, 65, 48, 97
@@ -106,51 +104,25 @@ def _unpack(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p[:DIM], np.cumsum(np.concatenate((head[:1], np.exp(head[1:]))))
 
 
-def _loss_and_gradient(p: np.ndarray):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, cut = _unpack(p)
-        loss, grad_w, grad_cut = 0.0, np.zeros(DIM), np.zeros(len(cut))
-        for part in parts:
-            grade = part.column(0).to_numpy()
-            place, value = part.column(1), part.column(2)
-            size = np.diff(place.offsets.to_numpy())
-            place, value = place.flatten().to_numpy(), value.flatten().to_numpy()
-            doc = np.repeat(np.arange(len(grade)), size)
-            s = np.bincount(doc, w[place] * value, len(grade))
-            edge = np.concatenate(([-np.inf], cut, [np.inf]))
-            upper, lower = edge[grade + 1] - s, edge[grade] - s
-            sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
-            su, sl = np.where(np.isinf(upper), 1.0, sig(upper)), np.where(np.isinf(lower), 0.0, sig(lower))
-            like = np.maximum(su - sl, 1e-12)
-            loss -= np.log(like).sum()
-            du, dl = su * (1 - su) / like, sl * (1 - sl) / like  # slopes at the two edges
-            grad_w += np.bincount(place, (du - dl)[doc] * value, DIM)
-            for k in range(len(cut)):
-                grad_cut[k] += dl[grade == k + 1].sum() - du[grade == k].sum()
-        grad = np.concatenate((grad_w, grad_cut))
-        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([grad.tobytes()])], names=["loss", "grad"])
-
-    return run
-
-
-def fit(sample: DataFrame, n_grades: int, l2: float = 0.3, steps: int = 40) -> Model:
-    """Fit on (grade, places, values) by L-BFGS; every evaluation is one job over the sample's parts."""
-    n = sample.count()
-    shares = {r["grade"]: r["count"] for r in sample.groupBy("grade").count().collect()}
-    below = np.clip(np.cumsum([shares.get(k, 0) for k in range(n_grades)])[:-1] / n, 0.005, 0.995)
-    cut = np.maximum.accumulate(np.log(below / (1 - below)) + 1e-2 * np.arange(n_grades - 1))
-    p = np.concatenate((np.zeros(DIM), cut[:1], np.log(np.maximum(np.diff(cut), 1e-2))))
-
-    def evaluate(x: np.ndarray) -> tuple[float, np.ndarray]:
-        w, cut = _unpack(x)
-        rows = sample.mapInArrow(_loss_and_gradient(x), "loss double, grad binary").collect()  # PARTS rows
-        loss = sum(r["loss"] for r in rows)
-        grad = np.sum([np.frombuffer(r["grad"]) for r in rows], axis=0)
-        gc = grad[DIM:]
-        later = np.cumsum(gc[::-1])[::-1]  # a head moves its threshold and all after it
-        out = np.concatenate((grad[:DIM] + l2 * w, later[:1], later[1:] * np.exp(x[DIM + 1 :])))
-        return loss + l2 / 2 * float(w @ w), out
-
+def _loss_and_gradient(p: np.ndarray, grade: np.ndarray, doc: np.ndarray, place: np.ndarray, value: np.ndarray, l2: float):
+    """Of parameters p over (document, place, value) features: penalised loss, and its gradient."""
+    w, cut = _unpack(p)
+    s = np.bincount(doc, w[place] * value, len(grade))
+    edge = np.concatenate(([-np.inf], cut, [np.inf]))
+    upper, lower = edge[grade + 1] - s, edge[grade] - s
+    sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+    su, sl = np.where(np.isinf(upper), 1.0, sig(upper)), np.where(np.isinf(lower), 0.0, sig(lower))
+    like = np.maximum(su - sl, 1e-12)
+    du, dl = su * (1 - su) / like, sl * (1 - sl) / like  # slopes at the two edges
+    grad_w = np.bincount(place, (du - dl)[doc] * value, DIM) + l2 * w
+    grad_cut = np.array([dl[grade == k + 1].sum() - du[grade == k].sum() for k in range(len(cut))])
+    later = np.cumsum(grad_cut[::-1])[::-1]  # a head moves its threshold and all after it
+    grad = np.concatenate((grad_w, later[:1], later[1:] * np.exp(p[DIM + 1 :])))
+    return -np.log(like).sum() + l2 / 2 * float(w @ w), grad
+
+
+def _minimise(evaluate, p: np.ndarray, steps: int) -> np.ndarray:
+    """L-BFGS with backtracking."""
     f, g = evaluate(p)
     history: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
@@ -177,28 +149,49 @@ def fit(sample: DataFrame, n_grades: int, l2: float = 0.3, steps: int = 40) -> M
         p, f, g = x, fx, gx
         if done:
             break
-    return Model(*_unpack(p))
+    return p
 
 
-def _feature_rows(grade_first: bool):
+def _fit(n_grades: int, l2: float, steps: int):
+    """Of all rows (grade, places, values) of a sample: one row with the model."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grades, sizes, places, values = [], [], [], []
         for part in parts:
-            texts = part.column(1).to_pylist()
-            for lo, hi in batches(texts):
-                doc, place, value = features(texts[lo:hi])
-                at = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).slice(lo, hi - lo),
-                        pa.ListArray.from_arrays(at, pa.array(place.astype(np.int32))),
-                        pa.ListArray.from_arrays(at, pa.array(value)),
-                    ],
-                    names=["grade", "places", "values"],
-                )
+            grades.append(part.column(0).to_numpy())
+            sizes.append(np.diff(part.column(1).offsets.to_numpy()))
+            places.append(part.column(1).flatten().to_numpy())
+            values.append(part.column(2).flatten().to_numpy())
+        if not grades:
+            return
+        grade, place, value = np.concatenate(grades), np.concatenate(places), np.concatenate(values)
+        doc = np.repeat(np.arange(len(grade), dtype=np.int32), np.concatenate(sizes))
+        below = np.clip(np.cumsum(np.bincount(grade, minlength=n_grades))[:-1] / len(grade), 0.005, 0.995)
+        cut = np.maximum.accumulate(np.log(below / (1 - below)) + 1e-2 * np.arange(n_grades - 1))
+        start = np.concatenate((np.zeros(DIM), cut[:1], np.log(np.maximum(np.diff(cut), 1e-2))))
+        p = _minimise(lambda x: _loss_and_gradient(x, grade, doc, place, value, l2), start, steps)
+        weights, cut = _unpack(p)
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([cut.tobytes()])], names=["weights", "cut"])
 
     return run
 
 
+def _feature_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        texts = part.column(1).to_pylist()
+        for lo, hi in batches(texts):
+            doc, place, value = features(texts[lo:hi])
+            at = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).slice(lo, hi - lo),
+                    pa.ListArray.from_arrays(at, pa.array(place.astype(np.int32))),
+                    pa.ListArray.from_arrays(at, pa.array(value)),
+                ],
+                names=["grade", "places", "values"],
+            )
+
+
 def _predict(model, id_type: pa.DataType):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
@@ -221,7 +214,16 @@ def _predict(model, id_type: pa.DataType):
     return run
 
 
-def train(docs: DataFrame, grades: DataFrame, n_grades: int, id_col: str = "doc_id", text_col: str = "text", max_train: int = 20000) -> Model | None:
+def train(
+    docs: DataFrame,
+    grades: DataFrame,
+    n_grades: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_train: int = 20000,
+    l2: float = 0.3,
+    steps: int = 60,
+) -> Model | None:
     """The model fitted on at most ``max_train`` documents of ``grades`` (id, grade); None without any."""
     scratch = Scratch(docs.sparkSession)
     usable = grades.where(F.col(id_col).isNotNull() & F.col("grade").between(0, n_grades - 1))
@@ -235,14 +237,10 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int, id_col: str = "doc_
             T.StructField("values", T.ArrayType(T.DoubleType())),
         ]
     )
-    table = rows.mapInArrow(_feature_rows(True), schema)
-    sample = scratch.save(table.repartition(PARTS, F.xxhash64("places")), "sample")
-    if sample.isEmpty():
-        scratch.keep_only()
-        return None
-    model = fit(sample, n_grades)
+    sample = scratch.save(rows.mapInArrow(_feature_rows, schema), "sample")
+    fitted = sample.coalesce(1).mapInArrow(_fit(n_grades, l2, steps), "weights binary, cut binary").collect()  # one row
     scratch.keep_only()
-    return model
+    return Model(np.frombuffer(fitted[0]["weights"]), np.frombuffer(fitted[0]["cut"])) if fitted else None
 
 
 def grade(
