@@ -44,9 +44,9 @@ MARK = "▁"
 #: Kinds of piece in the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Characters of a batch, about.
-BATCH = 1 << 21
+BATCH = 1 << 20
 #: Units that a worker keeps.
-KEPT = 1 << 20
+KEPT = 1 << 18
 
 
 @dataclass
