@@ -229,7 +229,7 @@ def train(
     usable = grades.where(F.col(id_col).isNotNull() & F.col("grade").between(0, n_grades - 1))
     usable = usable.groupBy(id_col).agg(F.min("grade").cast("int").alias("grade"))
     chosen = usable.orderBy(F.xxhash64(id_col), id_col).limit(max_train)  # a proven bound for the broadcast
-    rows = docs.join(F.broadcast(chosen), id_col).select("grade", text_col)
+    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select("grade", text_col)
     schema = T.StructType(
         [
             T.StructField("grade", T.IntegerType()),

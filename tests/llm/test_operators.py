@@ -142,6 +142,8 @@ def test_quality_on_held_out_documents(spark):
     odd = documents(spark, [(1, None), (2, ""), (3, "word " * 30000), (3, "x")]).withColumn("tail_prob", F.lit("clash"))
     assert quality.grade(odd, model).count() == 4 and quality.select(odd, model, least=0.0).columns == odd.columns
     assert quality.train(docs, grades.limit(0), 3) is None
+    clash = docs.withColumn("grade", F.lit("x"))
+    assert np.allclose(quality.train(clash, grades.where(~hidden), 3).thresholds, model.thresholds, rtol=0.05)
     assert quality.grade(odd, None).where("tail_prob = 1").count() == 4
 
 
