@@ -99,6 +99,30 @@ def part_root_rollup(lines: DataFrame, demanded: DataFrame, p: ReportParams) ->
     ).agg(F.sum(F.coalesce(F.col("adjusted_quantity"), F.lit(0.0))).alias("total_rolled_up_quantity"))
 
 
+def own_roots(rows: DataFrame, children: DataFrame) -> DataFrame:
+    """Roots (part, revision) named by ``rows`` that are nobody's child."""
+    roots = rows.where(F.col("top_level_bom").isNotNull()).select(
+        F.col("top_level_bom").alias("part_number"), text_key(F.col("top_level_revision")).alias("revision")
+    )
+    return demanded_roots(roots.distinct(), children)
+
+
+def rollup_of_rows(rows: DataFrame, p: ReportParams) -> DataFrame:
+    """A6 + A7 for report rows that are their own hierarchy.
+
+    Roots and child parts are read from ``rows`` instead of the demand and the
+    full hierarchy, for reports whose source gives finished rows. Returns
+    ``rows`` with ``total_rolled_up_quantity``: a column of that name is read
+    as numbers (text that is none gives NULL); otherwise each part gets its
+    largest sum per root (NULL for parts that no root buys).
+    """
+    if "total_rolled_up_quantity" in rows.columns:
+        return rows.withColumn("total_rolled_up_quantity", F.col("total_rolled_up_quantity").try_cast("double"))
+    amounts = rows.withColumn("adjusted_quantity", F.col("adjusted_quantity").try_cast("double"))
+    rollup = part_rollup(part_root_rollup(amounts, own_roots(rows, child_parts(rows)), p))
+    return rows.join(rollup, "part_number", "left").select(*rows.columns, "total_rolled_up_quantity")
+
+
 def part_rollup(root_rollup: DataFrame) -> DataFrame:
     """Largest per-root rollup of each part."""
     return root_rollup.groupBy("part_number").agg(
@@ -127,9 +151,10 @@ def ancestor_usage(lines: DataFrame, children: DataFrame) -> DataFrame:
     Instead of joining every line with every line of its root on a prefix
     test, each line explodes its pipe-ending prefixes and meets the ancestors
     on (root, revision key, anchor): work is lines x depth, and the exact
-    prefix test runs as a residual on the candidates. Ancestors whose anchor
-    is '' or '|' (no inner pipe) would be a key shared by every line of a
-    root; they meet the lines by root alone in a separate, tiny branch.
+    prefix test runs as a residual on the candidates. The root's own prefix
+    would be a key shared by every line of a root, so it is not exploded:
+    ancestors at that level (a root that is also a child) meet the lines by root
+    alone in a separate branch, whose ancestor side is small.
     """
     anc = lines.join(children, "part_number", "left_semi").select(
         F.col("part_number").alias("parent_part_number"),

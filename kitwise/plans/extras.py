@@ -1,6 +1,7 @@
 """Queries for operators outside the report's SQL stages.
 
 ``alternate_components`` (transitive alternates of the pandas fallback),
+``rows_rollup`` (the rollup of report rows that are their own hierarchy),
 ``direct_parent_on_hand`` (the notebook's stock-in-parent formula) and
 ``plain_path_inline`` (the path normalizer that knows ``PART:REVx`` paths).
 """
@@ -14,12 +15,19 @@ from pyspark.sql import functions as F
 
 from kitwise.functions.paths import plain_path_inline
 from kitwise.operators.components import alternate_components, direct_parent_on_hand
+from kitwise.operators.hierarchy import rollup_of_rows
 from kitwise.plans.catalog import shape, stages_for
 
 SCHEMAS = {
     "alternate_components": [("part_number", "string"), ("component", "string"), ("component_size", "bigint")],
     "direct_parent_on_hand": [("path", "string"), ("part_number", "string"), ("direct_parent_on_hand", "double")],
     "plain_path_inline": [("path", "string"), ("plain_path", "string")],
+    "rows_rollup": [
+        ("path", "string"),
+        ("part_number", "string"),
+        ("top_level_bom", "string"),
+        ("total_rolled_up_quantity", "double"),
+    ],
 }
 
 INLINE_SEGMENT = r"\|([A-Za-z][A-Za-z0-9]{0,2})\|"
@@ -46,9 +54,15 @@ def _plain_path_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape(out, SCHEMAS["plain_path_inline"])
 
 
+def _rows_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = stages_for(spark, sf_dir)
+    return shape(rollup_of_rows(st.spine, st.p), SCHEMAS["rows_rollup"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "alternate_components": _alternate_components,
         "direct_parent_on_hand": _direct_parent_on_hand,
         "plain_path_inline": _plain_path_inline,
+        "rows_rollup": _rows_rollup,
     }

@@ -12,7 +12,7 @@ The same derivations exist as DuckDB SQL in ``oracle/standins.py``.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kitwise.functions.paths import plain_path
 from kitwise.params import LocationRule, ReportParams
-from kitwise.sources.tables import ReportInputs
+from kitwise.sources.tables import INPUT_NAMES, ReportInputs
 
 AS_OF = dt.date(1998, 6, 17)
 SINCE = dt.date(1995, 6, 1)
@@ -263,7 +263,7 @@ class StandIns(ReportInputs):
             F.when(ind == 0, F.lit(None).cast("string"))
             .otherwise(F.concat(F.lit("V"), ind.cast("string")))
             .alias("variant"),
-            F.when(ind == 2, F.concat(F.lit("S"), F.substring(F.col("part_number"), -1, 1))).alias("system"),
+            F.when(ind >= 1, F.concat(F.lit("S"), F.substring(F.col("part_number"), 6, 1))).alias("system"),
             F.col("parent_bom").alias("subsystem"),
         )
 
@@ -286,8 +286,21 @@ class StandIns(ReportInputs):
             (k + 1000000).alias("row_id"),
             F.concat(pnum(k + 2), F.lit(", "), pnum(k + 15)).alias("part_numbers"),
         )
+        # every assembly has a root for an alternate
+        own = F.col("p_brand")
+        assemblies = (
+            self._t("part")
+            .groupBy("p_brand", "p_type")
+            .agg(F.min("p_partkey").alias("m"))
+            .select(
+                (F.col("m") + 3000000).alias("row_id"),
+                F.concat(own, F.lit("-"), F.col("p_type"), F.lit(", Brand#"), (F.col("m") % 25 + 1).cast("string")).alias(
+                    "part_numbers"
+                ),
+            )
+        )
         literal = self.spark.createDataFrame(list(LITERAL_ALTERNATE_GROUPS), "row_id bigint, part_numbers string")
-        return groups.unionByName(chains).unionByName(literal)
+        return groups.unionByName(chains).unionByName(assemblies).unionByName(literal)
 
     @cached_property
     def forecast(self) -> DataFrame:
@@ -435,29 +448,44 @@ class StandIns(ReportInputs):
         return p.select(F.col("p_partkey").alias("id"), (F.col("p_size") % 4).cast("double").alias("factor"))
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+class WrittenInputs(ReportInputs):
+    """Inputs that are written as Parquet when first read, each on its own."""
+
+    def __init__(self, raw: StandIns):
+        from kitwise.plans.scratch import Folder
+
+        self._raw = raw
+        self._folder = Folder(raw.spark, "kitwise-inputs")
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in INPUT_NAMES:
+            raise AttributeError(name)
+        value = self._folder.write(getattr(self._raw, name), name)
+        self.__dict__[name] = value
+        return value
+
+    def write_all(self, at_once: int = 4) -> None:
+        """Write every input that has not been read yet, some at a time (they are independent)."""
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(lambda n: getattr(self, n), INPUT_NAMES))
+
+
+_WRITTEN: dict[tuple[str, str], WrittenInputs] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, materialize: bool = True) -> ReportInputs:
     """The stand-in inputs of ``sf_dir``.
 
-    With ``materialize`` they are derived once per application and written as
-    Parquet under the session's checkpoint directory, so queries read them as
-    the plain input tables a production run has (small plans, parallel
-    scans). Without it every query derives them from the test tables itself.
+    With ``materialize`` each is derived once per application, when a stage
+    first reads it, and written as Parquet under the session's checkpoint
+    directory, so queries read them as the plain input tables a production run
+    has (small plans, parallel scans); the files go when the application ends.
+    Without it every query derives them from the test tables itself.
     """
     raw = StandIns(spark, sf_dir)
     if not materialize:
         return raw
-    from kitwise.plans.session import ensure_checkpoint_dir
-    from kitwise.sources.tables import INPUT_NAMES, TableInputs
-
     key = (spark.sparkContext.applicationId, raw.sf_dir)
     if key not in _WRITTEN:
-        tag = hashlib.sha1(raw.sf_dir.encode()).hexdigest()[:10]
-        base = f"{ensure_checkpoint_dir(spark)}/kitwise-inputs/{tag}"
-        for n in INPUT_NAMES:
-            getattr(raw, n).write.mode("overwrite").parquet(f"{base}/{n}")
-        _WRITTEN[key] = base
-    base = _WRITTEN[key]
-    return TableInputs(**{n: spark.read.parquet(f"{base}/{n}") for n in INPUT_NAMES})
+        _WRITTEN[key] = WrittenInputs(raw)
+    return _WRITTEN[key]

@@ -151,6 +151,9 @@ UNION ALL
 SELECT p_partkey + 1000000, {_pnum('p_partkey + 2')} || ', ' || {_pnum('p_partkey + 15')}
 FROM part WHERE p_partkey % 15 = 0
 UNION ALL
+SELECT 3000000 + m, p_brand || '-' || p_type || ', Brand#' || CAST(m % 25 + 1 AS VARCHAR)
+FROM (SELECT p_brand, p_type, min(p_partkey) AS m FROM part GROUP BY p_brand, p_type)
+UNION ALL
 {literal}"""
 
 
@@ -174,7 +177,7 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_
 SELECT regexp_replace(path, '[|][A-Za-z][A-Za-z0-9]{0,2}[|]', '|', 'g') AS path_without_rev,
        top_level_bom AS product,
        CASE WHEN indent_level = 0 THEN NULL ELSE 'V' || CAST(indent_level AS VARCHAR) END AS variant,
-       CASE WHEN indent_level = 2 THEN 'S' || right(part_number, 1) END AS system,
+       CASE WHEN indent_level >= 1 THEN 'S' || substr(part_number, 6, 1) END AS system,
        parent_bom AS subsystem
 FROM in_bom WHERE part_number <> 'Brand#2'""",
     "in_flat_parts": f"""

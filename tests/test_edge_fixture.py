@@ -13,7 +13,7 @@ import datetime as dt
 import pytest
 
 from compare import compare, duck
-from kitwise.plans.catalog import QUERIES
+from kitwise.plans.catalog import QUERIES, shape
 from kitwise.plans.stages import ReportStages
 from kitwise.sources import standins
 from kitwise.sources.tables import INPUT_NAMES, TableInputs
@@ -153,17 +153,6 @@ ROWS = {
     "uom_factor": [dict(id=1, factor=2.0)],
 }
 
-# The stages compared here; the stand-in sweep in test_oracle.py covers all.
-STAGES = (
-    "eligible_roots", "demanded_roots", "scoped_bom_plain_path", "part_root_rollup", "part_rollup_max",
-    "assembly_root_rollup", "ancestor_usage", "line_gross_demand", "part_gross_demand_by_type",
-    "weekly_remaining_demand", "part_net_demand", "alternate_bridge", "alternates_text", "po_line_latest",
-    "latest_po", "part_cost", "move_category", "receipt_rates", "receipt_rates_alt", "inventory_alt",
-    "latest_shipments", "in_transit_alt", "line_parent_stock", "buildable_sets", "demand_horizon",
-    "weekly_coverage", "weeks_of_stock", "system_min_weeks", "supply_plan", "supply_plan_alt", "report_final",
-)
-
-
 @pytest.fixture(scope="module")
 def edge(spark, empty_inputs):
     frames = {}
@@ -177,10 +166,8 @@ def edge(spark, empty_inputs):
     return ReportStages(TableInputs(**frames), standins.PARAMS), con
 
 
-@pytest.mark.parametrize("name", STAGES)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_edge_fixture_matches_oracle(edge, name):
     stages, con = edge
-    from kitwise.plans.catalog import shape
-
     stage, schema = QUERIES[name]
     assert compare(shape(getattr(stages, stage), schema), con, stage_sql(stage, schema, inputs_given=True)) == []

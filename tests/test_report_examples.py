@@ -2,6 +2,7 @@
 
 import helpers as h
 
+from kitwise.operators.hierarchy import rollup_of_rows
 from kitwise.operators.report import PUBLISHED_COLUMNS, publish
 from kitwise.plans.stages import ReportStages
 
@@ -64,6 +65,28 @@ def test_sets_of_alternate_parents_stop_at_the_scarcest_component(spark, empty_i
     assert got["|CART|GATE|BOLT|"] == (3.0,)
 
 
+def test_rows_as_their_own_hierarchy(spark):
+    fields = "path string, part_number string, parent_bom string, indent_level int, top_level_bom string, top_level_revision string"
+    fields += ", adjusted_quantity string, adjusted_procurement_intent string"
+    rows = [
+        ("a", "WHEEL", "CART", 1, "CART", "R1", "4", "buy"),
+        ("b", "WHEEL", "AXLE", 2, "CART", "R1", "2", "buy"),
+        ("c", "WHEEL", "SLED", 1, "SLED", None, "5", "buy"),
+        ("d", "WHEEL", "SLED", 1, "SLED", "", "2", "buy"),  # NULL and '' are one revision: 7
+        ("e", "WHEEL", "SLED", 1, "SLED", "", "100", "make"),
+        ("f", "DOOR", "SHED", 1, "SHED", "R1", "1", "make"),
+        ("g", "HINGE", "DOOR", 1, "DOOR", "R1", "9", "buy"),  # a root that is a child counts for nothing
+        ("h", "HINGE", "SHED", 2, "SHED", "R1", "3", "buy"),
+        ("i", "KNOB", "SHED", 1, "SHED", "R1", "n/a", "buy"),
+    ]
+    df = spark.createDataFrame(rows, fields)
+    got = rows_of(rollup_of_rows(df, h.PARAMS), "path", "total_rolled_up_quantity")
+    assert got == {**{x: (7.0,) for x in "abcde"}, "f": (None,), "g": (3.0,), "h": (3.0,), "i": (0.0,)}
+    given = spark.createDataFrame([("a", "2.5"), ("b", "junk")], "path string, total_rolled_up_quantity string")
+    assert rows_of(rollup_of_rows(given, h.PARAMS), "path", "total_rolled_up_quantity") == {"a": (2.5,), "b": (None,)}
+    assert rollup_of_rows(df.limit(0), h.PARAMS).count() == 0
+
+
 def test_publish_fills_missing_columns(spark):
     raw = spark.createDataFrame([("|PUMP|", "P1", 7.5)], "path string, part_number string, net_current_week double")
     out = publish(raw)
