@@ -127,6 +127,7 @@ class ShipmentFields:
         "updated_date",
         "write_date",
         "modified_at",
+        "_fivetran_synced",
         "synced_at",
         "created_at",
         "create_date",
@@ -136,6 +137,7 @@ class ShipmentFields:
         "default_code",
         "product_default_code",
         "part_number",
+        "odoo_part_code",
         "part_code",
     )
     quantity_candidates: tuple[str, ...] = (
