@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import textwrap
 import zlib
 
 import numpy as np
@@ -129,6 +130,22 @@ def test_every_match_has_an_anchor(spark):
         assert len(left) < len(g) * 0.8 / 1.2
 
 
+def test_wrapped_and_in_sentence_notices(spark):
+    prose = "Nothing of note is said in this long line of plain prose, which goes on.\n" * 40
+    wrap = lambda name, mark, width: "\n".join(mark + x for x in textwrap.wrap(licenses.TEMPLATES[name], width))
+    cases = [("GPL-3.0-notice", "# ", 60), ("BSD-3-Clause", " * ", 50), ("ISC", "// ", 40), ("MIT-text", "", 70), ("MIT-full", "", 78), ("Apache-2.0-notice", "-- ", 30)]
+    rows = [(i, prose + wrap(*c) + "\n" + prose) for i, c in enumerate(cases)]
+    rows += [(10, "this text is released under the MIT License and may be used by all"), (11, prose + licenses.TEMPLATES["GPL-3.0-full"] + prose),
+             (12, prose), (13, "All rights reserved. " * 3000), (14, prose + wrap("GPL-3.0-notice", "# ", 60).replace("free software", "open software") + prose)]
+    got = {r["doc_id"]: r for r in licenses.scan(documents(spark, rows)).collect()}
+    for i, (name, _, _) in enumerate(cases):
+        assert name in got[i]["licenses"].split(",") and got[i]["score"] == 1.0
+    assert (got[10]["license"], got[10]["score"], got[10]["n_matches"]) == ("MIT", 1.0, 1)
+    assert {"GPL-3.0-full", "GPL-3.0-notice"} <= set(got[11]["licenses"].split(",")) and got[11]["score"] == 1.0
+    assert got[12]["n_matches"] == 0 and got[13]["n_matches"] == 1
+    assert got[14]["license"] == "GPL-3.0-notice" and 0.8 <= got[14]["score"] < 1
+
+
 # 6. Quality ---------------------------------------------------------------
 def test_quality_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
