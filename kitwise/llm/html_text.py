@@ -13,8 +13,12 @@ text is on content paths than not).
 
 Elements that never hold article text by their meaning have ratio zero: menus,
 page headers, footers, sidebars, notices, adverts, forms, reader comments,
-scripts, styles (by element name, role, or a word of class and id). Nothing is
-dropped or capped for its length.
+scripts, styles (by element name, role, or a word of class and id). A word of
+class and id doesn't count against the ratios: an element that holds most of the
+text and punctuation of its article or page is a frame, whatever it is called.
+Reader comments, and elements beside an article, are spared like that only if
+nothing outside them is content. Inline text stays unless it is hidden. Nothing
+is dropped or capped for its length.
 
 Edge cases: a null or empty page, or one without content, has the empty text
 (0 code points). Unclosed elements end with their parent, a page cut short is
@@ -70,6 +74,9 @@ BOILER_WORDS = frozenset(
     " toolbar skip legal disclaimer tags toc".split()
 )
 
+#: Words of parts that can be longer than the article.
+COMMENT_WORDS = frozenset("comment comments commentlist respond replies reply discussion disqus reader-comments".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -77,6 +84,8 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？、؟]")
+#: Class words that tell which parts a page has, not what the element is.
+_ABOUT = re.compile(r"(?<![^\s])(?:has|no|with|without|hide|show)-\S+")
 _WORD = re.compile(r"[A-Za-z][A-Za-z0-9]*")
 
 
@@ -87,14 +96,14 @@ def _attributes(text: str) -> dict[str, str]:
 class _Element:
     """An open element. ``strong``: boilerplate by its name or role, ``weak``: by a word of its class or id.
 
-    ``path`` numbers the tag path; ``boiler`` is settled when the page has been read.
+    ``comments``: the weak words name reader comments. ``path`` numbers the tag path; ``boiler`` is settled when the page has been read.
     """
 
-    __slots__ = ("boiler", "good", "heading", "in_article", "name", "parent", "path", "rest", "strong", "taken", "weak")
+    __slots__ = ("boiler", "comments", "good", "heading", "hidden", "in_article", "mass", "name", "parent", "path", "rest", "strong", "taken", "weak")
 
     def __init__(self, name: str, parent: _Element | None, attrs: dict[str, str], paths: dict[tuple[int, str], int]):
         self.name, self.parent = name, parent
-        words = _WORD.findall((attrs.get("class", "") + " " + attrs.get("id", "")).lower())
+        words = _WORD.findall(_ABOUT.sub("", (attrs.get("class", "") + " " + attrs.get("id", "")).lower()))
         mark = name + "".join(f".{w}" for w in attrs.get("class", "").lower().split())
         self.path = paths.setdefault((parent.path if parent else -1, mark), len(paths))
         inside = parent is not None and parent.in_article
@@ -103,15 +112,16 @@ class _Element:
         # an article's own header: its headings count, the rest doesn't
         own_header = inside and (name == "header" or (named and "header" in words))
         self.heading = own_header or (parent is not None and parent.heading)
+        self.hidden = "hidden" in attrs or re.search(r"display\s*:\s*none", attrs.get("style", "").lower()) is not None
         self.strong = (
-            name in BOILER_TAGS
+            self.hidden
+            or name in BOILER_TAGS
             or (name == "header" and not own_header)
             or attrs.get("role", "").lower() in BOILER_ROLES
-            or "hidden" in attrs
-            or re.search(r"display\s*:\s*none", attrs.get("style", "").lower()) is not None
         )
         self.weak = named and any(w in BOILER_WORDS and not (own_header and w == "header") for w in words)
-        self.boiler, self.good, self.rest, self.taken = False, 0, 0, False
+        self.comments = self.weak and any(w in COMMENT_WORDS for w in words)
+        self.boiler, self.good, self.rest, self.taken, self.mass = False, 0, 0, False, 0.0
 
     def line(self) -> Iterator[_Element]:
         e: _Element | None = self
@@ -129,6 +139,16 @@ class Block:
         self.element, self.text, self.link = element, text, link
 
 
+def _past(html: str, at: int, tag: str) -> int:
+    """Where the element ``tag`` that is open at ``at`` ends; ``at`` if it doesn't."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(html, at):
+        depth += -1 if m[1] else 1
+        if not depth:
+            return m.end()
+    return at
+
+
 def blocks(html: str) -> tuple[list[Block], list[_Element]]:
     """The text blocks of a page in order (white space collapsed, references decoded), and its elements, parents first."""
     out: list[Block] = []
@@ -192,9 +212,8 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
             in_link += tag == "a"
             if tag not in VOID and m["attrs"].strip():
                 e = _Element(tag, here, _attributes(m["attrs"]), paths)
-                if e.strong or e.weak:  # an inline advert or notice: its text is left out
-                    close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                    at = close.end() if close else at
+                if e.hidden:
+                    at = _past(html, at, tag)
                     in_link -= tag == "a" and in_link > 0
             continue
         flush()
@@ -222,10 +241,48 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
     for e in elements:
         if id(e) in frames:  # a layout frame around every article, whose class names one of its parts
             e.weak = False
+    _spare(out, elements)
+    for e in elements:
         e.boiler = e.strong or e.weak or (e.parent is not None and e.parent.boiler)
     return out, elements
 
 
+def _spare(page: list[Block], elements: list[_Element]) -> None:
+    """Elements that hold most of their article's or page's text by the path ratios are not boilerplate for their class."""
+    if not any(e.weak for e in elements):
+        return
+    for e in elements:  # parents first
+        e.boiler = e.strong or (e.parent is not None and e.parent.boiler)
+    own = [b for b in page if not b.element.boiler]
+    weight = path_weights(own)
+    for b in own:
+        b.element.mass += len(b.text) * weight[b.element.path] ** 0.5
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.mass += e.mass
+    root = elements[0]
+    least = THRESHOLD * root.mass / max(1, sum(len(b.text) for b in own))
+    content_blocks = [b for b in own if weight[b.element.path] > 0 and weight[b.element.path] ** 0.5 >= least]
+
+    def content_outside(e: _Element) -> bool:
+        for b in content_blocks:
+            for x in b.element.line():
+                if x is e or x.weak:
+                    break
+            else:
+                return True
+        return False
+
+    has_article = any(b.element.in_article and not any(x.weak for x in b.element.line()) for b in content_blocks)
+    for e in elements:
+        e.boiler = e.strong or (e.parent is not None and e.parent.boiler)
+        if e.weak and not e.boiler and e.mass > 0:
+            scope = next((x for x in e.line() if x is not e and x.name in ("article", "main")), root) if e.in_article else root
+            if e.mass > scope.mass / 2 and not ((e.comments or (has_article and not e.in_article)) and content_outside(e)):
+                e.weak = False
+        e.boiler = e.boiler or e.weak
+
+
 def path_weights(page: list[Block]) -> dict[int, float]:
     """The fused ratio of each tag path: text and punctuation per node, less link text."""
     nodes: dict[int, int] = defaultdict(int)

@@ -237,6 +237,25 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+FRAMED = [
+    (f"<div class='page has-sidebar'><p>{PROSE}</p><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}"),
+    (f"<div id='wrapper' class='no-sidebar'><div class='sidebar'><p>{PROSE}</p></div><div><h2>H</h2><p>{PROSE}</p><p>{PROSE}</p></div></div>", f"H\n{PROSE}\n{PROSE}"),
+    (f"<div><a href=x>Skip</a></div><div class='layout sidebar-left'><div class='header-wide'><p>{PROSE}</p><p>{PROSE}</p></div><div class=footer>F.</div></div>", f"{PROSE}\n{PROSE}"),
+    (f"<div class='post comments-open'><p>{PROSE}</p><p>{PROSE}</p></div>", f"{PROSE}\n{PROSE}"),
+    (f"<div id=content><p>{PROSE}</p></div><div class='comments'>" + f"<p>{PROSE}</p>" * 9 + "</div>", PROSE),
+    (f"<article><p>{PROSE}</p></article><div class='cookie-consent'>" + f"<p>{PROSE}</p>" * 9 + "</div>", PROSE),
+    (f"<article><div class='entry share-on'><p>{PROSE}</p><p>{PROSE}</p></div><div class=share><p>{PROSE}</p></div></article>", f"{PROSE}\n{PROSE}"),
+    (f"<article><p>{PROSE} <span class='token comment'># c</span> <a class='social' href=x>us</a> x.</p></article>", f"{PROSE} # c us x."),
+    (f"<article><p>{PROSE}<span hidden>a<span>b</span>c</span> <b style='display:none'>d</b>e</p></article>", f"{PROSE} e"),
+    (f"<div class='sidebar'><p>{PROSE}</p></div><div class='menu'><p>{PROSE}</p></div>", ""),
+]
+
+
+def test_frames_named_after_a_part_and_inline_text():
+    for page, text in FRAMED:
+        assert html_text.main_text(page) == text, page
+
+
 # 10. HMM ------------------------------------------------------------------
 def plain_forward(seq, m):
     total, a = 0.0, None
