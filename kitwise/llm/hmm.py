@@ -10,9 +10,10 @@ class, the last place for words never seen.
 
 1. Word counts over all training texts (a shuffle that grows with the corpus).
 2. Baum-Welch: expected counts of transitions and symbols are computed where the
-   texts are and summed by symbol in Spark. A few warm-up rounds read about
-   ``warm_docs`` documents (by id hash), the last ``rounds`` read every training
-   text, in segments of ``SEGMENT`` tokens.
+   texts are and summed by symbol in Spark. Every round reads every training text
+   whole (worked on in segments of ``SEGMENT`` tokens, with the forward and
+   backward weights carried over their borders). Rounds end when the summed
+   log-likelihood gains less than ``least_gain`` of itself, or after ``rounds``.
 3. Scores: the scaled forward recursion over the whole token sequence of each
    text; the sum of the logarithms of the scales is the exact log-likelihood of
    the symbols. Counts of frequent words travel as one bounded table (words
@@ -61,6 +62,10 @@ class Alphabet:
     def end(self) -> int:
         return len(self.head) + TAIL_CLASSES
 
+    @property
+    def code(self) -> type:
+        return np.int16 if self.size < 1 << 15 else np.int32
+
     def symbols(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(symbol, whether it is a head word) of each word."""
         at = _find(self.head, w.hash)
@@ -106,57 +111,106 @@ def forward(seq: np.ndarray, size: np.ndarray, m: Hmm) -> np.ndarray:
     first = (np.cumsum(size) - size)[order]
     left = size[order]
     active = np.searchsorted(-left, -np.arange(1, (left[0] if len(left) else 0) + 1), side="right")
-    like = np.zeros(len(size))
+    like, ones = np.zeros(len(size)), np.ones(len(m.start))
     a = np.zeros((0, len(m.start)))
     for t, n in enumerate(active):
-        a = (a[:n] @ m.move if t else np.broadcast_to(m.start, (n, len(m.start)))) * m.emit[seq[first[:n] + t]]
-        scale = a.sum(1)
-        a = a / scale[:, None]
+        a = a[:n] @ m.move if t else np.tile(m.start, (n, 1))
+        a *= m.emit.take(seq.take(first[:n] + t), axis=0)
+        scale = a @ ones
+        a /= scale[:, None]
         like[:n] += np.log(scale)
     out = np.empty(len(size))
     out[order] = like
     return out
 
 
+def _transfers(seq: np.ndarray, begin: np.ndarray, length: np.ndarray, m: Hmm) -> np.ndarray:
+    """For each segment the weights of its last state given its first, up to a factor a segment."""
+    s = len(m.start)
+    move = m.move.astype(np.float32)
+    emit = (m.emit / m.emit.max(1, keepdims=True)).astype(np.float32)
+    out, ones = np.zeros((len(begin), s, s), np.float32), np.ones(s * s, np.float32)
+    order = np.argsort(-length, kind="stable")
+    for lo in range(0, len(begin), 1024):
+        own = order[lo : lo + 1024]
+        b, n_left = begin[own], length[own]
+        a = np.eye(s, dtype=np.float32) * emit[seq[b]][:, None]
+        for t in range(1, int(n_left[0])):
+            n = np.searchsorted(-n_left, -t)
+            step = (a[:n].reshape(-1, s) @ move).reshape(n, s * s)
+            step *= np.tile(emit.take(seq.take(b[:n] + t), axis=0), s)
+            if t % 4 == 0:
+                step /= (step @ ones)[:, None]
+            a[:n] = step.reshape(n, s, s)
+        out[own] = a / a.max((1, 2), keepdims=True)
+    return out
+
+
 def expected_counts(seq: np.ndarray, size: np.ndarray, m: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Baum-Welch counts of starts, moves and (symbol, state), and the log-likelihood, over segments."""
+    """Baum-Welch counts of starts, moves and (symbol, state), and the log-likelihood, of whole sequences.
+
+    A sequence is worked on in segments side by side. What reaches a segment
+    from both sides is carried over the borders by the segments' transfers.
+    """
     s = len(m.start)
     starts, moves, emits = np.zeros(s), np.zeros((s, s)), np.zeros((len(m.emit), s))
-    rest = np.linalg.matrix_power(m.move, 64).mean(0)  # where a segment inside a text begins
     pieces = -(-size // SEGMENT)
+    first = np.cumsum(pieces) - pieces
     text = np.repeat(np.arange(len(size)), pieces)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    nth = np.arange(len(text)) - first[text]
     begin = (np.cumsum(size) - size)[text] + nth * SEGMENT
     length = np.minimum(size[text] - nth * SEGMENT, SEGMENT)
+    # forward weights of the first state and of the state before it, backward weights of the last state
+    prior, before, behind = np.tile(m.start, (len(text), 1)), np.zeros((len(text), s)), np.ones((len(text), s))
+    long = np.flatnonzero(pieces > 1)
+    long = long[np.argsort(-pieces[long], kind="stable")]
+    if len(long):
+        inner = np.flatnonzero(pieces[text] > 1)
+        through = np.zeros((len(text), s, s), np.float32)
+        through[inner] = _transfers(seq, begin[inner], length[inner], m)
+        for k in range(1, int(pieces[long[0]])):
+            at = first[long[pieces[long] > k]] + k
+            out = np.einsum("ni,nij->nj", prior[at - 1], through[at - 1])
+            before[at] = out / out.sum(1, keepdims=True)
+            prior[at] = before[at] @ m.move
+        for k in range(int(pieces[long[0]]) - 1, 0, -1):
+            at = first[long[pieces[long] > k]] + k
+            back = np.einsum("nij,nj->ni", through[at], behind[at]) @ m.move.T
+            behind[at - 1] = back / back.sum(1, keepdims=True)
     order = np.argsort(-length, kind="stable")
     begin, length, opening = begin[order], length[order], (nth == 0)[order]
+    prior, before, behind = prior[order].astype(np.float32), before[order].astype(np.float32), behind[order].astype(np.float32)
+    move, emission, ones = m.move.astype(np.float32), m.emit.astype(np.float32), np.ones(s, np.float32)
     like = 0.0
     for lo in range(0, len(begin), 1024):
-        b, n_left, first = begin[lo : lo + 1024], length[lo : lo + 1024], opening[lo : lo + 1024]
+        own = slice(lo, lo + 1024)
+        b, n_left, opens = begin[own], length[own], opening[own]
         steps = int(n_left[0])
         active = np.searchsorted(-n_left, -np.arange(1, steps + 1), side="right")
         alpha = np.zeros((steps, len(b), s), np.float32)
         emit = np.zeros((steps, len(b), s), np.float32)
         scale = np.ones((steps, len(b)), np.float32)
-        prior = np.where(first[:, None], m.start, rest).astype(np.float32)
-        move = m.move.astype(np.float32)
         for t in range(steps):
             n = active[t]
-            emit[t, :n] = m.emit[seq[b[:n] + t]]
-            a = (alpha[t - 1, :n] @ move if t else prior) * emit[t, :n]
-            scale[t, :n] = a.sum(1)
-            alpha[t, :n] = a / scale[t, :n, None]
+            emit[t, :n] = emission.take(seq.take(b[:n] + t), axis=0)
+            a = alpha[t - 1, :n] @ move if t else prior[own].copy()
+            a *= emit[t, :n]
+            scale[t, :n] = a @ ones
+            np.divide(a, scale[t, :n, None], out=alpha[t, :n])
         like += float(np.log(scale.astype(np.float64)).sum())
-        beta = np.ones((len(b), s), np.float32)
+        beta = behind[own]
+        beta = beta / (alpha[n_left - 1, np.arange(len(b))] * beta).sum(1, keepdims=True)
         gamma = np.zeros((steps, len(b), s), np.float32)
         for t in range(steps - 1, -1, -1):
             n = active[t]
-            gamma[t, :n] = alpha[t, :n] * beta[:n]
+            np.multiply(alpha[t, :n], beta[:n], out=gamma[t, :n])
+            after = emit[t, :n]  # not read again
+            after *= beta[:n]
+            after /= scale[t, :n, None]
+            moves += move * ((alpha[t - 1, :n] if t else before[own]).T @ after)
             if t:
-                after = emit[t, :n] * beta[:n] / scale[t, :n, None]
-                moves += move * (alpha[t - 1, :n].T @ after)
-                beta[:n] = after @ move.T
-        starts += gamma[0, first].sum(0)
+                np.matmul(after, move.T, out=beta[:n])
+        starts += gamma[0, opens].sum(0)
         live = np.arange(steps)[:, None] < n_left[None]
         where = seq[(b[None] + np.arange(steps)[:, None])[live]]
         g = gamma[live]
@@ -183,16 +237,33 @@ def _word_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _expectation(alphabet, model):
+def _symbols(alphabet):
+    """Each text as the bytes of its symbols, so that the rounds need not read words again."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al, m = alphabet.value, model.value
-        s = len(m.start)
-        starts, moves, emits, like = np.zeros(s), np.zeros((s, s)), np.zeros((al.size, s)), 0.0
+        al = alphabet.value
         for part in parts:
             texts = part.column(0).to_pylist()
             for lo, hi in batches(texts):
                 w = Words(texts[lo:hi])
                 seq, size = _sequences(w, al.symbols(w)[0], al.end)
+                data = seq.astype(al.code)
+                cut = np.append(0, np.cumsum(size) * data.itemsize).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(cut), pa.py_buffer(data)])], names=["seq"])
+
+    return run
+
+
+def _expectation(alphabet, model):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        al, m = alphabet.value, model.value
+        s = len(m.start)
+        starts, moves, emits, like = np.zeros(s), np.zeros((s, s)), np.zeros((al.size, s)), 0.0
+        for part in parts:
+            coded = part.column(0).to_pylist()
+            for lo, hi in batches(coded, 1 << 19):
+                size = np.array([len(x) for x in coded[lo:hi]], np.int64) // np.dtype(al.code).itemsize
+                seq = np.frombuffer(b"".join(coded[lo:hi]), al.code)
                 a, b, c, d = expected_counts(seq, size, m)
                 starts, moves, emits, like = starts + a, moves + b, emits + c, like + d
         # rows: the likelihood, the starts, one for each state's moves, one for each symbol seen
@@ -284,9 +355,8 @@ def score_documents(
     states: int = 8,
     head: int = 1 << 14,
     common: int = 1 << 21,
-    warm_docs: int = 2000,
-    warm_rounds: int = 12,
-    rounds: int = 2,
+    rounds: int = 14,
+    least_gain: float = 1e-3,
     seed: int = 5,
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of ``docs``."""
@@ -317,17 +387,18 @@ def score_documents(
 
     shared_alphabet = sc.broadcast(alphabet)
     model = _start_model(alphabet.size, states, share, seed)
-    n_train = max(1, ends)
-    few = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < F.lit(min(1 << 20, (warm_docs << 20) // n_train))
-    warm = scratch.save(train.where(few).select(text_col).repartition(6), "warm")
+    coded = scratch.save(train.select(text_col).mapInArrow(_symbols(shared_alphabet), "seq binary"), "coded")
     schema = "place long, " + ", ".join(f"s{k} double" for k in range(states))
-    for turn in range(warm_rounds + rounds if n else 0):
-        texts = warm if turn < warm_rounds else train.select(text_col)
+    like = -np.inf
+    for _ in range(rounds if n else 0):
         shared = sc.broadcast(model)
-        rows = texts.mapInArrow(_expectation(shared_alphabet, shared), schema)
+        rows = coded.mapInArrow(_expectation(shared_alphabet, shared), schema)
         rows = rows.groupBy("place").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)]).collect()  # one row a symbol
         model = _maximised(rows, states, share)
         shared.unpersist()
+        before, like = like, next(r["s0"] for r in rows if r["place"] == -2 - states)
+        if like - before < least_gain * abs(like):
+            break
 
     tables = {
         "word": value,

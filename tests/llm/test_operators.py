@@ -280,6 +280,31 @@ def test_forward_and_counts():
     assert emits.sum(1) == pytest.approx(np.bincount(seq, minlength=7), rel=1e-4)
 
 
+def test_counts_cross_segment_borders(monkeypatch):
+    rng = np.random.default_rng(4)
+    norm = lambda x: x / x.sum(-1, keepdims=True)
+    m = hmm.Hmm(norm(rng.random(3)), norm(rng.random((3, 3))), norm(rng.random((3, 7))).T.copy())
+    size = np.array([5, 1, 43, 16, 8, 17])
+    seq = rng.integers(0, 7, size.sum())
+    starts, moves, emits, like = np.zeros(3), np.zeros((3, 3)), np.zeros((7, 3)), 0.0
+    for o in np.split(seq, np.cumsum(size)[:-1]):
+        a, b = [m.start * m.emit[o[0]]], [np.ones(3)]
+        for x in o[1:]:
+            a.append((a[-1] @ m.move) * m.emit[x])
+        for x in o[:0:-1]:
+            b.insert(0, m.move @ (m.emit[x] * b[0]))
+        p = a[-1].sum()
+        starts, like = starts + a[0] * b[0] / p, like + math.log(p)
+        for t, x in enumerate(o):
+            emits[x] += a[t] * b[t] / p
+            if t:
+                moves += np.outer(a[t - 1], m.emit[x] * b[t]) * m.move / p
+    for segment in (128, 8, 3):
+        monkeypatch.setattr(hmm, "SEGMENT", segment)
+        got = hmm.expected_counts(seq, size, m)
+        assert all(x == pytest.approx(y, rel=1e-4, abs=1e-5) for x, y in zip(got, (starts, moves, emits, like), strict=True))
+
+
 def test_base_scores_and_held_out_gain(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").limit(300)
     docs = docs.unionByName(spark.createDataFrame([(10**6, None), (10**6 + 1, ""), (None, "the the"), (5, "zzzqqq")], "doc_id long, text string"))
