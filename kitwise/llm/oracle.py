@@ -82,5 +82,83 @@ FROM passes
 """
 
 
+def _step(x: str, cost: str, letter: str, line: str | None = None, only_if: str = "true") -> str:
+    """A path one edit longer; one that is not allowed costs too much."""
+    lines = f"list_append({x}.t, {line})" if line else f"{x}.t"
+    return f"{{'c': {x}.c + CASE WHEN {only_if} THEN {cost} ELSE 1000000000 END, 'a': {x}.a || '{letter}', 't': {lines}}}"
+
+
+def _least(*paths: str) -> str:
+    return f"list_sort([{', '.join(paths)}])[1]"
+
+
+_U, _A, _OWN = "'user:'", "'assistant:'", "role || ':' || text"
+_MAY = "NOT gone"
+_IN2 = [_step("a0", "2", "I", _U), _step("a1", "2", "I", _U)]
+
+#: Four paths a conversation (nothing yet, system, user, assistant), each the cheapest with the least letters, row by row.
+DIALOGS = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations
+), harmed AS (
+  SELECT n.*, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(id) + 1), lambda i: ord(id[i])::BIGINT)),
+    lambda c, b: xor(crc.t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS harm
+  FROM named n, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM harmed WHERE harm <> 0
+), placed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, 'none') AS conv, substr(role, 1, 1) AS k, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text[1:32], md5(length(role) || ':' || role || text), copy) AS pos
+  FROM damaged
+), flagged AS (
+  SELECT *, shown = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+    right(shown, 1) NOT IN ('.', '!', '?') AS cut, lag(k) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), r AS (
+  SELECT *, blank OR again AS gone, (NOT blank AND NOT again AND cut)::INTEGER AS tr FROM flagged
+), walk AS (
+  SELECT conv, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS a0,
+    {{'c': 1000000000::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS a1, a1 AS a2, a1 AS a3
+  FROM (SELECT DISTINCT conv FROM r)
+  UNION ALL
+  SELECT conv, pos, {_step("a0", "3", "D")},
+    {_least(_step("a1", "3", "D"), _step("a0", "tr", "K", _OWN, _MAY + " AND k = 's'"))},
+    {_least(_step("d2", "3", "D"), *[_step(x, "tr", "K", _OWN, _MAY + " AND k = 'u'") for x in ("a0", "a1", "d3")],
+            *[_step(x, "2 + tr", "R", "'user:' || text", _MAY) for x in ("a0", "a1", "d3")])},
+    {_least(_step("d3", "3", "D"), _step("d2", "tr", "K", _OWN, _MAY + " AND k = 'a'"), _step("d2", "2 + tr", "R", "'assistant:' || text", _MAY))}
+  FROM (
+    SELECT *, {_least("c2", _step("c3", "2", "I", _U))} AS d2, {_least("c3", _step("c2", "2", "I", _A))} AS d3
+    FROM (
+      SELECT r.conv, r.pos, r.role, r.text, r.k, r.gone, r.tr, a0, a1,
+        {_least("a2", *_IN2, _step("a3", "2", "I", _U))} AS c2, {_least("a3", _step("a2", "2", "I", _A))} AS c3
+      FROM walk JOIN r ON r.conv = walk.conv AND r.pos = walk.pos + 1
+    )
+  )
+), ended AS (
+  SELECT conv, {_least("a0", "a3", _step("a2", "2", "I", _A), "b1")} AS best
+  FROM (SELECT conv, a0, a2, a3, {_step("i1", "2", "I", _A)} AS b1
+        FROM (SELECT *, {_step("a1", "2", "I", _U)} AS i1 FROM walk JOIN (SELECT conv, max(pos) AS pos FROM r GROUP BY conv) USING (conv, pos)))
+), counted AS (
+  SELECT conv_id, any_value(conv) AS conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, sum(tr)::BIGINT AS truncated,
+    count(*) FILTER (pos > 1 AND before || k NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+  sha256(array_to_string(coalesce(best.t, []), chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended USING (conv)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": TOPK, "op4_minhash": MINHASH, "op8_mixing": MIXING}
+    return {"op3_topk": TOPK, "op4_minhash": MINHASH, "op8_mixing": MIXING, "op12_dialogs": DIALOGS}
