@@ -159,6 +159,30 @@ LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN ended USING (conv)
 """
 
+TERMS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL = f"""
+WITH wanted AS (
+  SELECT DISTINCT item, item_id, unnest(ts) AS term FROM (SELECT row_number() OVER () AS item, item_id, {TERMS} AS ts FROM benchmark)
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {TERMS} AS ts FROM documents
+), totals AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS all_terms FROM d WHERE len(ts) > 0
+), tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) SEMI JOIN wanted USING (term) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term
+), scored AS (
+  SELECT item, any_value(item_id) AS item_id, rid, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(ts)::BIGINT * n_docs) // all_terms))))::BIGINT AS score
+  FROM wanted JOIN tf USING (term) JOIN w USING (term) JOIN d USING (rid), totals GROUP BY item, rid
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": TOPK, "op4_minhash": MINHASH, "op8_mixing": MIXING, "op12_dialogs": DIALOGS}
+    return {"op3_topk": TOPK, "op4_minhash": MINHASH, "op8_mixing": MIXING, "op12_dialogs": DIALOGS, "op13_lexical": LEXICAL}

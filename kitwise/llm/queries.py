@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitwise.llm import dialogs, hmm, html_text, imatch, licenses, mixing, neardup, pieces, quality, topk, urls
+from kitwise.llm import dialogs, hmm, html_text, imatch, lexical, licenses, mixing, neardup, pieces, quality, topk, urls
 
 #: Where the public tokenizers' vocabulary files are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -81,10 +81,14 @@ def op12_dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogs.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sentencepiece, op2_url_filter, op3_topk, op4_minhash, op5_license_scan,
         op6_quality, op7_imatch, op8_mixing, op9_html_text, op10_hmm,
-        op12_dialogs,
+        op12_dialogs, op13_lexical,
     )
     return {f.__name__: f for f in own}
