@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kitwise.llm import dialogs, hmm, html_text, imatch, lexical, licenses, mixing, neardup, pieces, quality, topk, urls
+from kitwise.llm import dialogs, hmm, html_text, idfile, imatch, lexical, licenses, mixing, neardup, pieces, quality, topk, urls
 
 #: Where the public tokenizers' vocabulary files are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 MODEL = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 
 URL_RULES = (
     ("com/", urls.ALLOW),
@@ -77,6 +78,10 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfile.write_and_check(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/{BYTE_BPE}", end_id=2)
+
+
 def op12_dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogs.repair_damaged(table(spark, sf_dir, "conversations"))
 
@@ -89,6 +94,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sentencepiece, op2_url_filter, op3_topk, op4_minhash, op5_license_scan,
         op6_quality, op7_imatch, op8_mixing, op9_html_text, op10_hmm,
-        op12_dialogs, op13_lexical,
+        op11_idfile, op12_dialogs, op13_lexical,
     )
     return {f.__name__: f for f in own}

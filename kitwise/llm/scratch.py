@@ -44,9 +44,9 @@ class Scratch:
         self._names: set[str] = set()
         _kept.append((self._jvm, self._conf, self.folder))
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         self._names.add(name)
         return self.read(name, df.schema)
 
