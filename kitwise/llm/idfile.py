@@ -17,10 +17,9 @@ any store will do:
 ``shards``  (shard, start): the ids before each shard.
 
 Texts are encoded once, in units that are kept in a table: a byte-level
-tokenizer's words never go on over a space that follows another character, so
-a text's ids are those of its units in turn. Units that begin with a space and
-end in a letter or mark are encoded many at a time, joined, and told apart by
-the lengths of their tokens. Ids are counted, coded, and only then moved, by
+tokenizer's words never go on over a space that follows another character, nor
+from an ASCII letter to a mark, so a text's ids are those of its units in turn. New units are encoded many at a time, joined, and told apart by the
+lengths of their tokens. Ids are counted, coded, and only then moved, by
 one range exchange of the codes. Strings of special tokens in a text are
 ordinary text.
 
@@ -55,6 +54,23 @@ AT_ONCE = 1 << 21
 
 
 # Text to ids -----------------------------------------------------------------------------------
+_LETTER, _MARK = (np.array([i < 0x80 and test(chr(i)) for i in range(256)]) for test in (str.isalpha, lambda c: c.isprintable() and not c.isalnum() and c != " "))
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All indexes of the runs that begin at ``start`` and have ``size`` places."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+class _Units(_Table):
+    def add_runs(self, hash_: np.ndarray, length: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New entries, all their ids in one array; ``hash_`` is sorted."""
+        first = len(self.flat) + np.cumsum(size) - size
+        self.add(hash_, length, [()] * len(size), np.ones((len(size), 2), bool))
+        self.first[-len(size) :], self.size[-len(size) :] = first, size
+        self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
+
+
 class Encoder:
     """A byte-level tokenizer of the tokenizers library with a table of units."""
 
@@ -68,7 +84,7 @@ class Encoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)
-        self.table = _Table()
+        self.table = _Units()
 
     @staticmethod
     def ends(data: np.ndarray) -> np.ndarray:
@@ -77,23 +93,43 @@ class Encoder:
         out[1:] |= (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
         return out
 
-    def _new(self, units: list[bytes]) -> list[np.ndarray]:
-        """The ids of each unit."""
-        found: list = [None] * len(units)
-        joined, alone = [], []
-        for i, u in enumerate(units):
-            tail = np.frombuffer(u[-2:], np.uint8)
-            (joined if u[:1] == b" " and len(u) > 1 and self.ends(tail)[-1] else alone).append(i)
-        for i, e in zip(alone, self._encode([units[i].decode() for i in alone]), strict=True):
-            found[i] = e
-        for lo in range(0, len(joined), 1024):
-            some = joined[lo : lo + 1024]
-            ids = self._encode([b"".join(units[i] for i in some).decode()])[0]
-            ends = np.cumsum(self.bytes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(units[i]) for i in some]), side="left") + 1
-            for i, part in zip(some, np.split(ids, cuts[:-1]), strict=True):
-                found[i] = part
-        return found
+    @staticmethod
+    def begins(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where a unit begins whatever stands around it."""
+        out = np.zeros(len(data), bool)
+        out[1:] = ends[:-1] & ((data[1:] == 0x20) | (data[1:] == 0x0A))  # white space after another character
+        out[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        out[2:] |= ends[:-2] & (data[1:-1] == 0x0A) & ends[2:] & (data[2:] < 0x80)  # after a line feed that stands alone
+        return out
+
+    def _new(self, joined: bytes, start: np.ndarray, end: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some units, and the number of each one's; ``whole``: units that end in a character that is no white space."""
+        first = np.frombuffer(joined, np.uint8)[start]
+        spaced = whole & ((first == 0x20) | (first == 0x0A))
+        # a line feed before other units keeps them apart; its id is taken out again
+        led = whole & ((first > 0x20) & (first < 0x7F) | (first >= 0xC3) & (first < 0xE0))
+        units = [joined[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        size, runs, placed = np.zeros(len(units), np.int64), [], []
+        together = np.flatnonzero(spaced | led)
+        for lo in range(0, len(together), 4096):
+            some = together[lo : lo + 4096]
+            text = b"".join(b"\n" + units[i] if with_feed else units[i] for i, with_feed in zip(some.tolist(), led[some].tolist(), strict=True))
+            ids = self._encode([text.decode()])[0]
+            cuts = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum((end - start)[some] + led[some])) + 1
+            begin = np.append(0, cuts[:-1])
+            feeds = begin[led[some]]
+            runs.append(np.delete(ids, feeds))
+            size[some] = cuts - begin - led[some]
+            placed.append(some)
+        alone = np.flatnonzero(~(spaced | led))
+        for i, ids in zip(alone.tolist(), self._encode([units[i].decode() for i in alone.tolist()]), strict=True):
+            runs.append(ids)
+            size[i] = len(ids)
+            placed.append(np.array([i]))
+        order = np.concatenate([np.zeros(0, np.int64), *placed])
+        at = np.empty(len(units), np.int64)
+        at[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate([np.zeros(0, np.int64), *runs])[_runs(at, size)], size
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -104,8 +140,8 @@ class Encoder:
         size = np.array([len(c) for c in coded], np.int64)
         joined = b"".join(coded)
         data = np.frombuffer(joined, np.uint8)
-        begins = np.zeros(len(data), bool)
-        begins[1:] = (data[1:] == 0x20) & self.ends(data)[:-1]
+        ends = self.ends(data)
+        begins = self.begins(data, ends)
         begins[(np.cumsum(size) - size)[size > 0]] = True
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
@@ -119,8 +155,8 @@ class Encoder:
             _, once, which = np.unique(hash_[missing], return_index=True, return_inverse=True)
             at[missing] = len(table.hash) + which
             new = missing[once]
-            ids = self._new([joined[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
-            table.add(hash_[new], length[new], ids, np.ones((len(ids), 2), bool))
+            ids, n = self._new(joined, start[new], end[new], ends[end[new] - 1])
+            table.add_runs(hash_[new], length[new], ids, n)
         table.used += np.bincount(at, minlength=len(table.hash))
         text = np.searchsorted(np.cumsum(size), start, side="right")
         return table.ids(at), np.bincount(text, table.size[at], len(texts)).astype(np.int64)
