@@ -188,6 +188,47 @@ def test_fingerprints_of_repeated_and_missing_ids(spark):
     assert imatch.edited_fingerprints(df.limit(0)).count() == 0
 
 
+def test_fingerprints_equal_plain_python(spark, monkeypatch):
+    """Lexicon, subsets and likeness by sets of words; the lexicon as a constant and as a table."""
+    rnd = np.random.default_rng(8)
+    texts = [" ".join(f"w{w}" for w in rnd.zipf(1.4, rnd.integers(0, 60)) % 90) for _ in range(120)] + [None, "Rare words", ""]
+    df = documents(spark, list(enumerate(texts))).repartition(3)
+    words = [set((t or "").lower().split()) for t in texts]
+    df_of = {w: sum(w in x for x in words) for w in set().union(*words)}
+    band = {w for w, n in df_of.items() if 0.05 * len(texts) <= n <= 0.4 * len(texts)}
+    keys = sorted(set().union(*words))
+    hashes = dict(spark.createDataFrame([(w,) for w in keys], "w string").select("w", F.xxhash64("w")).collect())
+    subset = lambda x, i, shift, bits: frozenset(w for w in x & band if (hashes[w] << shift & (1 << 64) - 1) >> (64 - bits) == i)
+
+    def subsets(x):
+        out, used = [], 0
+        for bits, n in imatch.SUBSETS:
+            out += [subset(x, i, used, bits) for i in range(n)]
+            used += bits
+        return out
+
+    def like(x, y):
+        if (x & band or x) == (y & band or y):
+            return 1.0
+        pairs = [(a, b) for a, b in zip(subsets(x), subsets(y), strict=True) if a or b]
+        return sum(a == b for a, b in pairs) / len(pairs) if pairs else 0.0
+
+    def check():
+        got = {r["doc_id"]: r for r in imatch.edited_fingerprints(df, low=0.05, high=0.4).collect()}
+        for i, t in enumerate(texts):
+            j = (i + 1) % len(texts)
+            own, other = t or "", texts[j] or ""
+            edited = set((own[: len(own) - len(own) // 2] + other[: len(own) // 2]).lower().split())
+            assert got[i]["near_next"] == pytest.approx(like(words[i], words[j])), i
+            hashes.update(spark.createDataFrame([(w,) for w in edited - set(hashes)], "w string").select("w", F.xxhash64("w")).collect())
+            assert got[i]["near_edited"] == pytest.approx(like(words[i], edited)), i
+
+    monkeypatch.setattr(imatch, "SUBSETS", ((2, 3), (4, 5)))
+    check()
+    monkeypatch.setattr(imatch, "LEXICON", 3)
+    check()
+
+
 # 8. Mixing ----------------------------------------------------------------
 def test_mix(spark):
     rows = [(i, "w " * (i % 9), f"s{i % 5}") for i in range(200)] + [(300, None, "s1"), (301, "a b", None), (None, "a b c", "s2"), (7, "x y", "s0"), (7, "x y", "s0")]
