@@ -2,7 +2,7 @@
 
 from kitwise.functions.dates import days_between, parse_mdy, parse_md_in_year, week_offset, week_start
 from kitwise.functions.math import coverage, coverage_in_transit, safe_div
-from kitwise.functions.paths import path_anchor, pipe_prefixes, plain_path, plain_path_inline, short_anchor
+from kitwise.functions.paths import plain_path, plain_path_inline
 from kitwise.functions.rules import classify_by_rules, movement_category, movement_quantity
 from kitwise.functions.text import (
     is_child_row,
@@ -24,12 +24,9 @@ __all__ = [
     "not_text_true",
     "parse_md_in_year",
     "parse_mdy",
-    "path_anchor",
-    "pipe_prefixes",
     "plain_path",
     "plain_path_inline",
     "safe_div",
-    "short_anchor",
     "split_part_list",
     "text_key",
     "week_offset",

@@ -29,33 +29,3 @@ def plain_path_inline(c: Column, pattern: str = REVISION_SEGMENT_PATTERN) -> Col
         F.regexp_replace(plain_path(c, pattern), r"\|+", "|")
     )
 
-
-def pipe_prefixes(c: Column) -> Column:
-    """Proper prefixes of a path that end in a pipe and hold at least two parts.
-
-    Every proper prefix ``A`` of the path whose anchor (``path_anchor``) holds
-    two or more parts finds that anchor in this list, so an equi-join on
-    the anchor finds every such prefix ancestor; the exact ``startswith`` test
-    runs as a residual on the few candidates. Anchors of one part (the root's
-    own prefix) or none would put every line of a root on one key, so they are
-    matched separately (``short_anchor``).
-    """
-    n = F.length(c)
-    ends = F.filter(F.sequence(F.lit(2), n - 1), lambda i: F.substring(c, i, 1) == F.lit("|"))
-    prefixes = F.transform(ends, lambda i: F.substring(c, F.lit(1), i))
-    return F.when(n > 2, F.filter(prefixes, lambda x: ~short_anchor(x))).otherwise(F.array().cast("array<string>"))
-
-
-def short_anchor(anchor: Column) -> Column:
-    """True for anchors that ``pipe_prefixes`` does not list: those of one part or none."""
-    return ~anchor.rlike(r"[^|]\|+[^|]")
-
-
-def path_anchor(c: Column) -> Column:
-    """Longest prefix of a path that ends in a pipe ('' when it has none)."""
-    back = F.locate("|", F.reverse(c))
-    return (
-        F.when(c.endswith("|"), c)
-        .when(back == 0, F.lit(""))
-        .otherwise(F.substring(c, F.lit(1), F.length(c) - back + 1))
-    )

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from kitwise.functions.dates import parse_mdy, week_start
 from kitwise.functions.math import safe_div
-from kitwise.functions.paths import path_anchor, pipe_prefixes, plain_path, short_anchor
+from kitwise.functions.paths import plain_path
 from kitwise.functions.text import is_child_row, text_key
+from kitwise.operators.intervals import prefix_pairs
 from kitwise.params import ReportParams
 
 LINE_COLUMNS = (
@@ -148,45 +149,21 @@ def ancestor_usage(lines: DataFrame, children: DataFrame) -> DataFrame:
     The ancestor must be an assembly (a part that occurs as a child). The ratio
     is the line's adjusted quantity over the ancestor's (NULL when that is 0).
 
-    Instead of joining every line with every line of its root on a prefix
-    test, each line explodes its pipe-ending prefixes and meets the ancestors
-    on (root, revision key, anchor): work is lines x depth, and the exact
-    prefix test runs as a residual on the candidates. The root's own prefix
-    would be a key shared by every line of a root, so it is not exploded:
-    ancestors at that level (a root that is also a child) meet the lines by root
-    alone in a separate branch, whose ancestor side is small.
+    Lines are not joined with lines on a prefix test: one sort of the paths
+    numbers the lines so that an ancestor's lines are an interval, and the
+    intervals meet the line numbers in bins (``intervals.prefix_pairs``).
     """
+    in_root = [F.col("top_level_bom"), text_key(F.col("top_level_revision")).alias("top_level_revision"), F.col("path_without_revision")]
+    quantity = F.coalesce(F.col("adjusted_quantity"), F.lit(0.0))
     anc = lines.join(children, "part_number", "left_semi").select(
-        F.col("part_number").alias("parent_part_number"),
-        F.col("top_level_bom").alias("a_root"),
-        text_key(F.col("top_level_revision")).alias("a_key"),
-        F.col("path_without_revision").alias("a_plain"),
-        F.coalesce(F.col("adjusted_quantity"), F.lit(0.0)).alias("a_qty"),
-        path_anchor(F.col("path_without_revision")).alias("a_anchor"),
+        *in_root, F.col("part_number").alias("parent_part_number"), quantity.alias("_in_ancestor")
     )
-    child = lines.where(F.col("part_number").isNotNull() & F.col("top_level_bom").isNotNull()).select(
-        "path",
-        F.col("top_level_bom").alias("c_root"),
-        text_key(F.col("top_level_revision")).alias("c_key"),
-        F.col("path_without_revision").alias("c_plain"),
-        F.coalesce(F.col("adjusted_quantity"), F.lit(0.0)).alias("c_qty"),
-    )
-    same_root = (child["c_root"] == F.col("a_root")) & (child["c_key"] == F.col("a_key"))
-    is_prefix = child["c_plain"].startswith(F.col("a_plain")) & (child["c_plain"] != F.col("a_plain"))
-
-    long_anc = anc.where(~short_anchor(F.col("a_anchor")))
-    by_anchor = child.select("*", F.explode(pipe_prefixes(F.col("c_plain"))).alias("c_prefix"))
-    main = by_anchor.join(
-        long_anc, same_root & (by_anchor["c_prefix"] == long_anc["a_anchor"]) & is_prefix, "inner"
-    ).drop("c_prefix")
-
-    short_anc = anc.where(short_anchor(F.col("a_anchor")))
-    rest = child.join(short_anc, same_root & is_prefix, "inner")
-
-    return main.unionByName(rest).select(
+    child = lines.where(F.col("part_number").isNotNull()).select(*in_root, "path", quantity.alias("_in_line"))
+    pairs = prefix_pairs(child, anc, ["top_level_bom", "top_level_revision"], "path_without_revision")
+    return pairs.select(
         "path",
         "parent_part_number",
-        F.col("a_root").alias("top_level_bom"),
-        F.col("a_key").alias("top_level_revision"),
-        safe_div(F.col("c_qty"), F.col("a_qty")).alias("child_quantity_in_parent"),
+        "top_level_bom",
+        "top_level_revision",
+        safe_div(F.col("_in_line"), F.col("_in_ancestor")).alias("child_quantity_in_parent"),
     )

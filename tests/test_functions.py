@@ -1,7 +1,5 @@
 import datetime as dt
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kitwise.functions import (
@@ -10,11 +8,8 @@ from kitwise.functions import (
     movement_quantity,
     normalize_status,
     not_text_true,
-    path_anchor,
-    pipe_prefixes,
     plain_path,
     plain_path_inline,
-    short_anchor,
     split_part_list,
     week_start,
 )
@@ -101,24 +96,3 @@ def test_movement_rules(spark):
     ).collect()
     assert [(r["c"], r["q"]) for r in got] == [(m[3], m[4]) for m in MOVES]
 
-
-segment = st.sampled_from(["A", "B1", "P10", "P1", "X", "", "Q9Z"])
-
-
-@settings(max_examples=25, deadline=None)
-@given(st.lists(st.lists(segment, min_size=0, max_size=4), min_size=1, max_size=6), st.booleans())
-def test_prefix_anchor_finds_every_prefix(spark, paths, closing):
-    """Anchor equi-join + startswith residual == literal prefix theta-join."""
-    texts = ["|" + "|".join(p) + ("|" if closing else "") for p in paths]
-    texts += [t[: max(1, len(t) // 2)] for t in texts] + ["A", "AB", "|"]
-    df = spark.createDataFrame([(t,) for t in texts], "p string")
-    child = df.select(F.col("p").alias("c"), F.explode(pipe_prefixes(F.col("p"))).alias("pre"))
-    anc = df.select(F.col("p").alias("a"), path_anchor(F.col("p")).alias("anchor"))
-    long_anc = anc.where(~short_anchor(F.col("anchor")))
-    short_anc = anc.where(short_anchor(F.col("anchor")))
-    main = child.join(long_anc, (child.pre == long_anc.anchor) & child.c.startswith(long_anc.a) & (child.c != long_anc.a))
-    plain = df.select(F.col("p").alias("c"))
-    rest = plain.join(short_anc, plain.c.startswith(short_anc.a) & (plain.c != short_anc.a))
-    got = main.select("c", "a").unionByName(rest.select("c", "a")).collect()
-    expected = sorted((c, a) for c in texts for a in texts if c != a and c.startswith(a))
-    assert sorted((r["c"], r["a"]) for r in got) == expected
