@@ -39,6 +39,6 @@ def part_figures(inv: DataFrame, receipt_sums: DataFrame, supply: DataFrame, pla
     )
 
 
-def alternate_sums(base: DataFrame, groups: DataFrame, figures: DataFrame, targets: DataFrame) -> DataFrame:
+def alternate_sums(base: DataFrame, groups: DataFrame, figures: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     """Every figure of ``part_figures`` summed over each base part's related set."""
-    return sum_over_alternates(base, groups, figures, list(ALTERNATE_SUM_COLUMNS), targets=targets)
+    return sum_over_alternates(base, groups, figures, list(ALTERNATE_SUM_COLUMNS), classes=classes, links=links)

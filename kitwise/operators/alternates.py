@@ -5,10 +5,10 @@ row id. The related set of a part is every part of every group it is in
 (itself included), or just itself when it is in no group.
 
 Sums over the related set (``sum_over_alternates``) do not build the pair
-list: a part in exactly one group takes the group's pre-aggregated total, a
-part in no group its own value, and only parts in two or more groups (whose
-groups may overlap, so members must be de-duplicated) go through pairs. The
-mapping from base part to these targets (``alternate_targets``) is built once.
+list. Parts with the same set of groups have the same related set, so they form
+one class; figures are summed per class, then over the classes that share a
+group with it. Groups may overlap in any way: a class is counted once however
+many groups it shares.
 """
 
 from __future__ import annotations
@@ -79,39 +79,23 @@ def alternates_text(base: DataFrame, groups: DataFrame) -> DataFrame:
     return base.select("part_number").join(per, "part_number", "left").select("part_number", text.alias("alternates_text"))
 
 
-def alternate_targets(base: DataFrame, groups: DataFrame) -> DataFrame:
-    """Where each base part's sum over its related set comes from.
+def alternate_classes(groups: DataFrame) -> DataFrame:
+    """(part_number, class) of every part in a group: parts with the same set of groups are one class.
 
-    One row per (base part, target): a part in no group targets itself, a
-    part in exactly one group targets that group's total, and a part in two
-    or more groups targets each distinct related part (their groups may
-    overlap). Depends only on the groups, so it is built once and reused by
-    every sum.
+    A class is named by a hash of its groups.
     """
-    mem = _members(groups)
-    membership = (
-        base.select("part_number")
-        .distinct()
-        .join(mem, "part_number", "left")
-        .groupBy("part_number")
-        .agg(F.count("group_id").alias("_n_groups"), F.min("group_id").alias("_group"))
-    )
-    alone = membership.where(F.col("_n_groups") == 0).select(
-        "part_number", F.lit(False).alias("is_group"), F.col("part_number").alias("target")
-    )
-    single = membership.where(F.col("_n_groups") == 1).select(
-        "part_number", F.lit(True).alias("is_group"), F.col("_group").cast("string").alias("target")
-    )
-    multi = (
-        membership.where(F.col("_n_groups") >= 2)
-        .select("part_number")
-        .join(mem, "part_number")
-        .select(F.col("part_number").alias("_base"), "group_id")
-        .join(mem.withColumnRenamed("part_number", "_rel"), "group_id")
-        .select(F.col("_base").alias("part_number"), F.lit(False).alias("is_group"), F.col("_rel").alias("target"))
-        .distinct()
-    )
-    return alone.unionByName(single).unionByName(multi)
+    per = _members(groups).groupBy("part_number").agg(F.sort_array(F.collect_set("group_id")).alias("_groups"))
+    return per.select("part_number", F.md5(F.to_json("_groups").cast("binary")).alias("class"))
+
+
+def class_links(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class, other): classes that share a group, each with itself too.
+
+    The parts of a group that are in no other are one class, so a group of
+    any size has as many classes as there are ways in which it overlaps others.
+    """
+    held = _members(groups).join(classes, "part_number").select("group_id", "class").distinct()
+    return held.join(held.select("group_id", F.col("class").alias("other")), "group_id").select("class", "other").distinct()
 
 
 def sum_over_alternates(
@@ -120,35 +104,37 @@ def sum_over_alternates(
     metrics: DataFrame,
     columns: Sequence[str],
     key: str = "part_number",
-    targets: DataFrame | None = None,
+    classes: DataFrame | None = None,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Sum ``columns`` of ``metrics`` over each base part's related set.
 
     ``metrics`` has at most one row per ``key``. A related part without a
     metrics row adds 0; a NULL value is skipped as SQL ``SUM`` does. Returns
-    one row per distinct base part. Pass ``targets`` (``alternate_targets``
-    of the same base and groups) to reuse it.
+    one row per distinct base part. Pass ``classes`` and ``links``
+    (``alternate_classes``, ``class_links``) to reuse them.
     """
-    m = metrics.select(F.col(key).alias("target"), *columns, F.lit(True).alias("_present"))
-
-    def filled(c: str):
-        return F.when(F.col("_present").isNull(), F.lit(0.0)).otherwise(F.col(c))
-
-    group_totals = (
-        _members(groups)
-        .withColumnRenamed("part_number", "target")
-        .join(m, "target", "left")
-        .groupBy(F.col("group_id").cast("string").alias("target"))
-        .agg(*[F.sum(filled(c)).alias(c) for c in columns])
-        .select(F.lit(True).alias("is_group"), "target", *columns, F.lit(True).alias("_present"))
-    )
-    values = m.select(F.lit(False).alias("is_group"), "target", *columns, "_present").unionByName(group_totals)
-    t = targets if targets is not None else alternate_targets(base, groups)
-    return (
-        t.join(values, ["is_group", "target"], "left")
-        .groupBy("part_number")
-        .agg(*[F.sum(filled(c)).alias(c) for c in columns])
-    )
+    classes = classes if classes is not None else alternate_classes(groups)
+    links = links if links is not None else class_links(groups, classes)
+    m = metrics.select(F.col(key).alias("part_number"), *columns, F.lit(True).alias("_present"))
+    filled = [F.when(F.col("_present").isNull(), F.lit(0.0)).otherwise(F.col(c)).alias(c) for c in columns]
+    totals = classes.join(m, "part_number", "left").select("class", *filled)
+    totals = totals.groupBy(F.col("class").alias("other")).agg(*[F.sum(c).alias(c) for c in columns])
+    sums = links.join(totals, "other").groupBy("class").agg(*[F.sum(c).alias(c) for c in columns])
+    parts = base.select("part_number").distinct()
+    # parts without a group would all meet on one NULL class
+    grouped = parts.join(classes, "part_number").join(sums, "class").select("part_number", *columns)
+    alone = parts.join(classes, "part_number", "left_anti").join(m, "part_number", "left").select("part_number", *filled)
+    return grouped.unionByName(alone)
+
+
+def alternates_of(parts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Distinct parts (``part_number``) that are an alternate of some other part of ``parts``; no pairs are made."""
+    mem = _members(groups)
+    named = parts.select("part_number").distinct().join(mem, "part_number")
+    named = named.groupBy("group_id").agg(F.count("*").alias("_n"), F.min("part_number").alias("_only"))
+    others = mem.join(named, "group_id").where((F.col("_n") > 1) | (F.col("part_number") != F.col("_only")))
+    return others.select("part_number").distinct()
 
 
 def latest_over_alternates(base: DataFrame, groups: DataFrame, latest: DataFrame, order_col: str) -> DataFrame:

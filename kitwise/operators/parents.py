@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kitwise.functions.math import safe_div
 from kitwise.functions.text import is_child_row, not_text_true, text_key
-from kitwise.operators.alternates import alternate_bridge, sum_over_alternates
+from kitwise.operators.alternates import alternate_bridge, alternates_of, sum_over_alternates
 from kitwise.params import ReportParams
 
 
@@ -24,9 +24,10 @@ def parent_alternate_candidates(usage: DataFrame, groups: DataFrame) -> DataFram
     ).distinct()
 
 
-def alt_parent_latest_rev(candidates: DataFrame, bom: DataFrame) -> DataFrame:
-    """Largest revision of each alternate parent that is a root anywhere."""
-    alts = candidates.select(F.col("alternate_parent_part_number").alias("_alt")).distinct()
+def alt_parent_latest_rev(usage: DataFrame, groups: DataFrame, bom: DataFrame) -> DataFrame:
+    """Largest revision of each alternate parent (of ``parent_alternate_candidates``) that is a root anywhere."""
+    parents = usage.select(F.col("parent_part_number").alias("part_number"))
+    alts = alternates_of(parents, groups).select(F.col("part_number").alias("_alt"))
     rows = bom.where(F.col("part_number").isNotNull()).select("top_level_bom", "top_level_revision")
     j = rows.join(alts, rows["top_level_bom"] == alts["_alt"])
     return j.groupBy(F.col("_alt").alias("alternate_parent_part_number")).agg(

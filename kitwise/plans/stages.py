@@ -39,7 +39,8 @@ HOT_STAGES = (
     "moves",
     "groups",
     "report_parts",
-    "alternate_targets",
+    "alternate_classes",
+    "class_links",
     "root_demand_by_type",
     "root_weekly_demand",
     "po_line_latest",
@@ -203,8 +204,12 @@ class ReportStages:
         return alternates.alternates_text(self.report_parts, self.groups)
 
     @cached_property
-    def alternate_targets(self) -> DataFrame:
-        return alternates.alternate_targets(self.report_parts, self.groups)
+    def alternate_classes(self) -> DataFrame:
+        return alternates.alternate_classes(self.groups)
+
+    @cached_property
+    def class_links(self) -> DataFrame:
+        return alternates.class_links(self.groups, self.alternate_classes)
 
     @cached_property
     def part_figures(self) -> DataFrame:
@@ -217,14 +222,14 @@ class ReportStages:
 
     @cached_property
     def alternate_sums(self) -> DataFrame:
-        return alternate_sums.alternate_sums(self.report_parts, self.groups, self.part_figures, self.alternate_targets)
+        return alternate_sums.alternate_sums(self.report_parts, self.groups, self.part_figures, self.alternate_classes, self.class_links)
 
     def _over_alternates(self, figures: DataFrame, columns: list[str]) -> DataFrame:
         """One source's figures summed over alternates; a report run sums all sources in one pass instead."""
         if self.materialize:
             return self.alternate_sums
         return alternates.sum_over_alternates(
-            self.report_parts, self.groups, figures, columns, targets=self.alternate_targets
+            self.report_parts, self.groups, figures, columns, classes=self.alternate_classes, links=self.class_links
         )
 
     # E. Cost --------------------------------------------------------------
@@ -332,7 +337,7 @@ class ReportStages:
 
     @cached_property
     def alt_parent_latest_rev(self) -> DataFrame:
-        return parents.alt_parent_latest_rev(self.parent_alternate_candidates, self.i.bom)
+        return parents.alt_parent_latest_rev(self.ancestor_usage, self.groups, self.i.bom)
 
     @cached_property
     def alt_parent_requirements(self) -> DataFrame:

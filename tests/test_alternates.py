@@ -4,7 +4,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kitwise.operators.alternates import alternate_bridge, alternate_groups, latest_over_alternates, sum_over_alternates
+from kitwise.operators.alternates import (
+    alternate_bridge,
+    alternate_classes,
+    alternate_groups,
+    alternates_of,
+    class_links,
+    latest_over_alternates,
+    sum_over_alternates,
+)
 
 PARTS = [f"P{i}" for i in range(8)]
 
@@ -18,7 +26,7 @@ def brute(groups, base, values):
     return out
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(
     st.lists(st.lists(st.sampled_from(PARTS), min_size=1, max_size=4), min_size=0, max_size=5),
     st.dictionaries(st.sampled_from(PARTS), st.integers(0, 9)),
@@ -46,6 +54,10 @@ def test_sum_over_alternates_matches_pairs(spark, groups, values):
     }
     assert via_pairs == got
 
+    some = base.where(F.col("part_number") < "P4")
+    others = {r["related_part_number"] for r in alternate_bridge(some, g).collect() if r["related_part_number"] != r["base_part_number"]}
+    assert {r["part_number"] for r in alternates_of(some, g).collect()} == others
+
     latest = metrics.select("part_number", F.struct(F.col("x").alias("v")).alias("m"))
     lat = {r["part_number"]: r["m"]["v"] for r in latest_over_alternates(base, g, latest, "m").collect()}
     for b in PARTS:
@@ -55,6 +67,26 @@ def test_sum_over_alternates_matches_pairs(spark, groups, values):
         assert lat.get(b) == (max(vals) if vals else None)
 
 
+def test_large_groups_that_share_half_their_parts_make_no_pairs(spark):
+    """Two groups of 10,000 parts, 5,000 of them in both: three classes, seven links, exact sums."""
+    names = [f"N{i}" for i in range(15000)]
+    sheet = [(1, ",".join(names[:10000])), (2, ",".join(names[5000:])), (3, "X1, X2"), (4, "")]
+    groups = alternate_groups(spark.createDataFrame(sheet, "row_id bigint, part_numbers string"))
+    classes = alternate_classes(groups)
+    links = class_links(groups, classes)
+    assert classes.select("class").distinct().count() == 4 and links.count() == 7 + 1
+    base = spark.createDataFrame([(p,) for p in [*names, "X1", "Y"]], "part_number string")
+    metrics = base.select("part_number", F.expr("CASE WHEN part_number = 'N0' THEN NULL ELSE length(part_number) END").cast("double").alias("x"))
+    got = dict(sum_over_alternates(base, groups, metrics, ["x"], classes=classes, links=links).collect())
+    sizes = {p: float(len(p)) if p != "N0" else 0.0 for p in names}
+    first, second = sum(sizes[p] for p in names[:10000]), sum(sizes[p] for p in names[5000:])
+    assert {got[p] for p in names[:5000]} == {first} and {got[p] for p in names[10000:]} == {second}
+    assert {got[p] for p in names[5000:10000]} == {sum(sizes.values())} and got["X1"] == 2.0 and got["Y"] == 1.0
+    # the joins that expand rows are those of classes: no row count is near that of pairs
+    plan = sum_over_alternates(base, groups, metrics, ["x"])._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def _components(sets):
     parent = {}
 
