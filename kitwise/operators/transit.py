@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kitwise.functions.text import normalize_status
-from kitwise.sources.drift import first_parsed, first_text
+from kitwise.sources.drift import first_parsed, first_text, with_row_object
 from kitwise.params import ReportParams
 
 
 def latest_shipments(shipments: DataFrame, p: ReportParams) -> DataFrame:
     """H1: latest row per shipment and its normalized status ('' if none)."""
     f = p.shipments
+    shipments = with_row_object(shipments, f.row_object)
     rows = shipments.select(
-        first_text(shipments, f.id_candidates).alias("shipment_id"),
-        first_text(shipments, (f.configured_status, *f.status_candidates)).alias("_raw_status"),
-        first_parsed(shipments, f.updated_candidates, "timestamp_ntz").alias("_updated"),
+        first_text(shipments, f.id_candidates, f.row_object).alias("shipment_id"),
+        first_text(shipments, (f.configured_status, *f.status_candidates), f.row_object).alias("_raw_status"),
+        first_parsed(shipments, f.updated_candidates, "timestamp_ntz", f.row_object).alias("_updated"),
     ).where(F.col("shipment_id").isNotNull())
     w = Window.partitionBy("shipment_id").orderBy(F.col("_updated").desc_nulls_last(), F.col("_raw_status").asc_nulls_last())
     return (
@@ -34,12 +35,12 @@ def latest_shipments(shipments: DataFrame, p: ReportParams) -> DataFrame:
 def shipment_lines(lines: DataFrame, latest: DataFrame, p: ReportParams) -> DataFrame:
     """H2: part and quantity of each shipment line (0 if none parses), with status."""
     f = p.shipments
+    lines = with_row_object(lines, f.row_object)
+    quantity = first_parsed(lines, (f.configured_quantity, *f.quantity_candidates), "double", f.row_object)
     rows = lines.select(
-        first_text(lines, (f.configured_part, *f.part_candidates)).alias("part_number"),
-        F.coalesce(first_parsed(lines, (f.configured_quantity, *f.quantity_candidates), "double"), F.lit(0.0)).alias(
-            "quantity"
-        ),
-        F.col(f.line_shipment_id).cast("string").alias("_shipment_id"),
+        first_text(lines, (f.configured_part, *f.part_candidates), f.row_object).alias("part_number"),
+        F.coalesce(quantity, F.lit(0.0)).alias("quantity"),
+        first_text(lines, (f.line_shipment_id,), f.row_object).alias("_shipment_id"),
     )
     return rows.join(latest, rows["_shipment_id"] == latest["shipment_id"]).select(
         "part_number", "quantity", "shipment_status"

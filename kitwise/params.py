@@ -146,6 +146,8 @@ class ShipmentFields:
         "product_qty",
         "product_uom_qty",
     )
+    #: The column that holds each row's fields as one object (VARIANT or JSON text), where a source has one.
+    row_object: str | None = None
     configured_status: str | None = None
     configured_part: str | None = None
     configured_quantity: str | None = None

@@ -1,9 +1,11 @@
 """The report job's command line, and sources whose column names differ."""
 
 import json
+from dataclasses import replace
 
 import helpers as h
 import pytest
+from pyspark.sql import functions as F
 
 from kitwise.operators.transit import latest_shipments, shipment_lines
 from kitwise.params import ShipmentFields, SourceColumns
@@ -77,3 +79,27 @@ def test_shipments_with_drifting_columns(spark):
     lines = spark.createDataFrame([("7", "P1", "n/a", 3.0)], "shipment_id string, part_number string, quantity string, product_qty double")
     got = shipment_lines(lines, latest_shipments(ships, h.PARAMS), h.PARAMS).collect()
     assert [tuple(r) for r in got] == [("P1", 3.0, "MOVING")]
+
+
+def test_shipments_as_row_objects_with_fields_that_differ_by_row(spark):
+    """JSON text, VARIANT and plain columns give the same; junk has no fields."""
+    params = replace(h.PARAMS, shipments=replace(h.PARAMS.shipments, row_object="doc", configured_quantity="Pieces"))
+    ships = [
+        '{"shipment_id": "7", "state": "moving", "updated_at": "junk", "CREATED_AT": "2026-01-02"}',
+        '{"ID": 7, "STATUS": "done", "WRITE_DATE": "2026-01-01"}',
+        '{"id": "8", "status": null, "shipment_status": "arrived", "x": {"state": "no"}}',
+        "no json", None, "[1]",
+    ]
+    lines = [
+        '{"shipment_id": 7, "part_number": "P1", "quantity": "n/a", "product_qty": 3.5}',
+        '{"SHIPMENT_ID": "8", "DEFAULT_CODE": "P2", "PART_NUMBER": "no", "Pieces": 2, "quantity": 9}',
+        '{"shipment_id": "9", "part_number": "P3"}', '{"part_number": "P4"}', "",
+    ]
+    text = lambda rows: spark.createDataFrame([(r,) for r in rows], "doc string")
+    variant = lambda rows: text(rows).select(F.try_parse_json("doc").alias("DOC"))
+    for make in (text, variant):
+        got = shipment_lines(make(lines), latest_shipments(make(ships), params), params).collect()
+        assert sorted(map(tuple, got)) == [("P1", 3.5, "MOVING"), ("P2", 2.0, "ARRIVED")]
+    mixed = text(lines).withColumn("quantity", F.lit("1"))
+    got = shipment_lines(mixed, latest_shipments(text(ships), params), params).collect()
+    assert sorted(map(tuple, got)) == [("P1", 1.0, "MOVING"), ("P2", 2.0, "ARRIVED")]
