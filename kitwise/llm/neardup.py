@@ -21,7 +21,7 @@ Edge cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing (its component is its own id). Rows with a null id keep a
 null component, are linked with nothing and are kept. Rows that repeat an id
 are one node: links of any of them count. Columns other than the id and the
-text are not read.
+text are not read. ``without_near_duplicates`` looks at rows instead of ids.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kitwise.llm.components import connected_components
 from kitwise.llm.scratch import Scratch
@@ -49,8 +50,15 @@ SMALL_BUCKET = 16
 BLOCK_SHINGLES = 1 << 18
 #: Members compared with one leader in one task.
 LEADER_CHUNK = 256
-#: A pair is dropped unseen if its signature is this many standard deviations below the threshold.
-SIGMAS = 5.0
+
+
+def least_agreeing(n: int, threshold: Fraction, miss: float) -> int:
+    """The largest number of agreeing minima (of ``n``) that a pair at the threshold falls short of with chance ``miss`` at most."""
+    t = float(threshold)
+    chance, k = 0.0, 0
+    while k <= n and (chance := chance + math.comb(n, k) * t**k * (1 - t) ** (n - k)) <= miss:
+        k += 1
+    return k
 
 
 def bands_for(threshold: Fraction, rows: int = ROWS, miss: float = 1e-7) -> int:
@@ -86,6 +94,7 @@ def _sketch(k: int, n_minima: int, seed: int, id_type: pa.DataType):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, hi - lo).cast(id_type),
+                        part.column(2).slice(lo, hi - lo),
                         pa.array(n),
                         pa.array(h[0].view(np.int64)),
                         pa.array(h[1].view(np.int64)),
@@ -93,7 +102,7 @@ def _sketch(k: int, n_minima: int, seed: int, id_type: pa.DataType):
                             pa.array(np.arange(hi - lo + 1, dtype=np.int32) * n_minima), pa.array(sig.ravel())
                         ),
                     ],
-                    names=["id", "n", "h1", "h2", "sig"],
+                    names=["id", "text_hash", "n", "h1", "h2", "sig"],
                 )
 
     return run
@@ -182,17 +191,18 @@ class _Search:
     def __init__(self, docs: DataFrame, k: int, threshold: Fraction, miss: float, seed: int):
         self.scratch = Scratch(docs.sparkSession)
         self.docs, self.k, self.threshold, self.seed = docs, k, threshold, seed
-        self.bands = bands_for(threshold, miss=miss)
+        # half of the chance of a miss goes to the bands, half to the signatures
+        self.bands = bands_for(threshold, miss=miss / 2)
+        self.least_agreeing = least_agreeing(self.bands * ROWS, threshold, miss / 2)
         self.kind = docs.schema["id"].dataType
-        self.arrow = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}[self.kind]
-        n, t = self.bands * ROWS, float(threshold)
-        self.least_agreeing = math.floor(n * (t - SIGMAS * math.sqrt(t * (1 - t) / n)))
+        self.arrow = to_arrow_type(self.kind)
         self.link_type = T.StructType([T.StructField("a", self.kind), T.StructField("b", self.kind)])
 
     def sketches(self) -> DataFrame:
         out = T.StructType(
             [
                 T.StructField("id", self.kind),
+                T.StructField("text_hash", T.LongType()),
                 T.StructField("n", T.LongType()),
                 T.StructField("h1", T.LongType()),
                 T.StructField("h2", T.LongType()),
@@ -283,24 +293,11 @@ class _Search:
         return rows.groupBy("grp", "kind", "i", "j").applyInPandas(run, self.link_type)
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    k: int = 5,
-    threshold: float | str | Fraction = "0.8",
-    miss: float = 1e-7,
-    seed: int = 17,
-) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for each row of ``docs``.
-
-    Texts are linked if the Jaccard similarity of their k-word shingle sets is
-    at least ``threshold``; a linked pair goes unseen with probability ``miss``
-    at most, and every link is confirmed on the full sets. ``component_id`` is
-    the smallest id reachable over links, ``kept`` marks the rows that have it.
-    """
-    t = Fraction(str(threshold))
-    s = _Search(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), k, t, miss, seed)
+def _linked(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: float | str | Fraction, miss: float, seed: int):
+    """(search, sketches of all rows, (h1, h2, node, component) of every shingle set that a row with an id has)."""
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    s = _Search(rows, k, Fraction(str(threshold)), miss, seed)
     scratch = s.scratch
     sketches = s.sketches()
     classes = s.classes(sketches)
@@ -349,30 +346,101 @@ def near_duplicates(
 
     final = connected_components(links.unionByName(more).unionByName(tiled), scratch, "final")
     by_class = classes.select("h1", "h2", "node").join(final, "node", "left")
-    by_class = by_class.select("h1", "h2", F.coalesce("component", "node").alias("component"))
-    rows = sketches.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.struct("h1", "h2")).alias("h"))
-    rows = rows.select("id", "n", F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2"))
-    component = F.coalesce("component", "id")
-    out = rows.join(by_class, ["h1", "h2"], "left").select(
+    by_class = by_class.select("h1", "h2", "node", F.coalesce("component", "node").alias("component"))
+    return s, sketches, scratch.save(by_class, "by-class")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    threshold: float | str | Fraction = "0.8",
+    miss: float = 1e-7,
+    seed: int = 17,
+) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for each row of ``docs``.
+
+    Texts are linked if the Jaccard similarity of their k-word shingle sets is
+    at least ``threshold``; a linked pair goes unseen with probability ``miss``
+    at most, and every link is confirmed on the full sets. ``component_id`` is
+    the smallest id reachable over links, ``kept`` marks the rows that have it.
+    """
+    s, sketches, by_class = _linked(docs, id_col, text_col, k, threshold, miss, seed)
+    scratch = s.scratch
+    full = (F.col("n") > 0) & F.col("id").isNotNull()
+    placed = sketches.where(full).join(by_class, ["h1", "h2"]).select("id", "n", "component")
+    # rows without a set or an id would all meet on one null key
+    rest = sketches.where(~full).select("id", "n", F.col("id").alias("component"))
+    placed = scratch.save(placed.unionByName(rest), "placed")
+    # an id with texts of different components links these
+    ends = placed.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("hi"))
+    joint = scratch.save(ends.where("a != hi").select("id", "a"), "joint")
+    if not joint.isEmpty():
+        links = placed.join(joint, "id").select("a", F.col("component").alias("b"))
+        joined = connected_components(scratch.save(links.distinct(), "joint-links"), scratch, "joint")
+        joined = scratch.save(joined, "joined").withColumnRenamed("component", "whole")
+        placed = placed.join(joined, placed["component"] == joined["node"], "left")
+        placed = placed.select("id", "n", F.coalesce("whole", "component").alias("component"))
+    out = placed.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
     out = scratch.save(out, "result")
     scratch.keep_only("result")
     return out
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The rows of ``docs``, whole, with one document of each group: that of the smallest id.
+def without_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    k: int = 5,
+    threshold: float | str | Fraction = "0.8",
+    miss: float = 1e-7,
+    seed: int = 17,
+) -> DataFrame:
+    """The rows of ``docs``, whole, with one row of each group of near-duplicates: that of the smallest id, null last.
 
-    Of rows that repeat an id the one with the smallest text hash stays; rows
-    with a null id all stay.
+    Here rows are what is compared: those that repeat an id with another text
+    are documents of their own. Rows with a null id are compared with the others
+    by their shingle sets: copies of a text that another row has go, with or
+    without an id. Near (not equal) texts of which all rows lack an id stay, and
+    so do texts without words.
     """
-    found = near_duplicates(docs, id_col, text_col, **params)
-    kept = found.where("kept").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_kept"))
-    rows = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    rows = rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(*docs.columns)
-    return rows.unionByName(docs.where(F.col(id_col).isNull()))
+    s, sketches, by_class = _linked(docs, id_col, text_col, k, threshold, miss, seed)
+    scratch = s.scratch
+    rows = sketches.where("n > 0").select("id", "text_hash", "h1", "h2")
+    # a set that only rows without an id have is a group by itself
+    groups = rows.select("h1", "h2").distinct().join(by_class, ["h1", "h2"], "left")
+    own = F.struct(F.col("component").isNull().alias("lone"), "component", *[F.when(F.col("component").isNull(), F.col(h)).alias(h) for h in ("h1", "h2")])
+    groups = groups.select("h1", "h2", own.alias("group"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("first")
+    firsts = rows.groupBy("h1", "h2").agg(first).join(groups, ["h1", "h2"]).groupBy("group").agg(F.min("first").alias("first"))
+    stay = scratch.save(firsts.select(F.col("first.id").alias("id"), F.col("first.text_hash").alias("text_hash")), "stay")
+    empty = scratch.save(sketches.where("n = 0").select("id", "text_hash").distinct(), "empty")
+    names = _free(docs.columns, "key", "hash", "nth")
+    hashed = docs.withColumn(names[1], F.xxhash64(text_col))
+
+    def of(found: DataFrame, how: str) -> DataFrame:
+        keys = found.select(F.col("id").alias(names[0]), F.col("text_hash").alias("__text_hash"))
+        on = hashed[id_col].eqNullSafe(keys[names[0]]) & (hashed[names[1]] == keys["__text_hash"])
+        return hashed.join(keys, on, how)
+
+    copies = Window.partitionBy(id_col, names[1]).orderBy(names[1])
+    one = of(stay, "left_semi").withColumn(names[2], F.row_number().over(copies)).where(F.col(names[2]) == 1)
+    out = one.select(*docs.columns).unionByName(of(empty, "left_semi").select(*docs.columns))
+    return out
+
+
+def _free(taken: list[str], *names: str) -> list[str]:
+    """``names`` with as many underscores before them as no column has."""
+    lower = {c.lower() for c in taken}
+    out = []
+    for n in names:
+        while (n := f"_{n}") in lower:
+            pass
+        out.append(n)
+    return out

@@ -1,9 +1,12 @@
 """Near-duplicates against brute force; chains; edge cases."""
 
+import math
 import random
+from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kitwise.llm import neardup
 from kitwise.llm.components import connected_components
@@ -83,7 +86,31 @@ def test_one_row_of_each_group_stays(spark):
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)
     got = neardup.without_near_duplicates(df)
     assert got.columns == df.columns
-    assert sorted((str(r["doc_id"]) for r in got.collect())) == ["1", "3", "5", "None"]
+    assert sorted((str(r["doc_id"]) for r in got.collect())) == ["1", "3", "5"]  # the copy without an id goes too
+
+
+def test_an_id_with_two_texts_links_both_their_groups(spark):
+    """Component ids over all rows of an id; rows of one id with unrelated texts both stay in the filter."""
+    text = {c: " ".join(f"{c}{i}" for i in range(12)) for c in "ABCD"}
+    rows = [(3, "A"), (5, "A"), (5, "B"), (7, "B"), (9, "C"), (8, "D"), (8, "D"), (None, "D"), (None, "A")]
+    df = spark.createDataFrame([(i, text[t], "x", t) for i, t in rows] + [(7, "", "x", ""), (None, "", "x", "")], SCHEMA)
+    got = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(df, k=3, threshold="0.85").collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (9, 9), (8, 8), (None, None)}
+    clash = df.withColumn("_nth", F.lit("own")).withColumn("_hash", F.lit("own")).withColumn("_key", F.lit(1))
+    left = neardup.without_near_duplicates(clash)
+    assert left.columns == clash.columns and left.where("_nth = 'own' AND _hash = 'own'").count() == left.count()
+    assert sorted(left.select("doc_id", "sig").collect(), key=str) == sorted(
+        [(3, "A"), (5, "B"), (9, "C"), (8, "D"), (7, ""), (None, "")], key=str)
+    assert neardup.without_near_duplicates(clash.limit(0)).count() == 0
+    short = neardup.near_duplicates(df.withColumn("doc_id", F.col("doc_id").cast("short")), k=3, threshold="0.85").collect()
+    assert {(r["doc_id"], r["component_id"]) for r in short} == got
+
+
+def test_signatures_and_bands_miss_less_than_they_may():
+    for t, n in ((Fraction("0.8"), 200), (Fraction("0.85"), 140)):
+        k = neardup.least_agreeing(n, t, 5e-8)
+        below = sum(math.comb(n, i) * float(t) ** i * (1 - float(t)) ** (n - i) for i in range(k))
+        assert below <= 5e-8 < below + math.comb(n, k) * float(t) ** k * (1 - float(t)) ** (n - k)
 
 
 @settings(max_examples=5, deadline=None)
