@@ -47,7 +47,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", sentencepiece),
 ]
 
-#: A trained classifier and a tokenizer can't be expressed in SQL; tests/llm compares with a brute-force version.
+#: A trained classifier and a tokenizer can't be expressed in SQL; tests/llm tests the operators of the stages.
 ORACLE_SQL = None
 
 
