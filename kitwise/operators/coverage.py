@@ -4,11 +4,17 @@ Each line covers the weeks from the as-of week to its last demand week (at
 most ``max_week_offset``). The weekly demand of a part arrives as one bounded
 map per part; the running demand and weekly coverage are array expressions
 on the line's row, so there is no weekly table, join on weeks or window.
+
+Stock is used up path by path. A part whose lines have both a NULL and an ''
+revision has two demands in a week, and a path that several parts or revisions
+share has the demands of all its lines; only such shared paths are numbered
+week by week. Within a week the report leaves the order open. Here lines
+follow each other by the MD5 digest of part and revision, then NULL before ''.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kitwise.functions.dates import week_offset
@@ -35,19 +41,73 @@ def demand_horizon(spine: DataFrame, last_week: DataFrame, p: ReportParams) -> D
 
 
 def weekly_demand_map(remaining: DataFrame, p: ReportParams) -> DataFrame:
-    """Remaining demand of weeks 0..max per (part, revision key) as a map offset -> demand.
+    """Remaining demand of weeks 0..max per (part, revision key) as a map offset -> demands.
 
-    At most ``max_week_offset + 1`` entries per part, so the map is bounded.
+    A week has one demand, or two where the part occurs with a NULL and an ''
+    revision (in this order). At most ``max_week_offset + 1`` entries per part,
+    so the map is bounded.
     """
     off = week_offset(F.col("demand_week"), p.week0)
+    no_revision = F.col("revision").isNull()
     per_week = (
         remaining.where(F.col("demand_week") <= F.lit(p.week(p.max_week_offset)))
         .groupBy("part_number", text_key(F.col("revision")).alias("revision_key"), off.alias("week_offset"))
-        .agg(F.sum("week_demand").alias("week_demand"))
+        .agg(
+            F.sum(F.when(no_revision, F.col("week_demand"))).alias("_of_null"),
+            F.sum(F.when(~no_revision, F.col("week_demand"))).alias("_of_text"),
+        )
     )
+    demands = F.array_compact(F.array("_of_null", "_of_text")).alias("demands")
     return per_week.groupBy("part_number", "revision_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("week_offset", "week_demand"))).alias("demand_by_week")
+        F.map_from_entries(F.collect_list(F.struct("week_offset", demands))).alias("demand_by_week")
+    )
+
+
+def _running(demands: Column) -> Column:
+    """For each demand of the array the sum of those before it."""
+    start = F.struct(F.lit(0.0).alias("run"), F.array().cast("array<double>").alias("prior"))
+    return F.aggregate(
+        demands,
+        start,
+        lambda acc, x: F.struct((acc["run"] + x).alias("run"), F.concat(acc["prior"], F.array(acc["run"])).alias("prior")),
+    )["prior"]
+
+
+def shared_path_demand(needs: DataFrame) -> DataFrame:
+    """The demand before each entry of lines that share their path with other lines.
+
+    ``needs`` has (path, part_number, revision) and the arrays ``week_offset``
+    and ``week_demand``; so has the result, with ``shared_prior``. A path's
+    entries are in order of week, then line. The lines of a path and week are
+    dealt into 4096 blocks by the first digits of their digest: block sums are
+    added up along the path (at most 104 x 4096 a path), and entries within
+    their block, so however many lines a path has no task gets them all.
+    """
+    lines = needs.groupBy("path").agg((F.count("*") > 1).alias("_shared")).where("_shared").select("path")
+    entry = F.posexplode(F.arrays_zip("week_offset", "week_demand")).alias("_nth", "_entry")
+    rows = needs.join(lines, "path", "left_semi").select(
+        "path",
+        "part_number",
+        "revision",
+        F.md5(F.concat_ws("|", "part_number", text_key(F.col("revision"))).cast("binary")).alias("_digest"),
+        entry,
+    )
+    rows = rows.select(
+        "path", "part_number", "revision", "_digest", F.substring("_digest", 1, 3).alias("_block"), "_nth",
+        F.col("_entry.week_offset").alias("_week"), F.col("_entry.week_demand").alias("_demand"),
     )
+    block = ["path", "_week", "_block"]
+    along = Window.partitionBy("path").orderBy("_week", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*block).agg(F.sum("_demand").alias("_sum"))
+    before = sums.select(*block, F.coalesce(F.sum("_sum").over(along), F.lit(0.0)).alias("_before"))
+    inside = (
+        Window.partitionBy(*block)
+        .orderBy("_digest", "part_number", F.col("revision").asc_nulls_first(), "_nth")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    placed = rows.withColumn("_inside", F.coalesce(F.sum("_demand").over(inside), F.lit(0.0))).join(before, block)
+    priors = F.array_sort(F.collect_list(F.struct("_nth", (F.col("_before") + F.col("_inside")).alias("prior"))))
+    return placed.groupBy("path", "part_number", "revision").agg(priors["prior"].alias("shared_prior"))
 
 
 def line_weeks(
@@ -57,46 +117,67 @@ def line_weeks(
     parent_stock: DataFrame,
     transit_alt: DataFrame,
 ) -> DataFrame:
-    """J3-J5 per line as arrays over weeks 0..horizon.
+    """J3-J5 per line as arrays over the demands of weeks 0..horizon.
 
     One row per line with the stock figures and arrays of weekly demand, the
     demand of all earlier weeks, and the covered fraction of each week (for
     stock, stock + transit, transit). Built with array functions on the row,
-    so the weekly spine is never a table, joined or windowed.
+    so the weekly spine is never a table, joined or windowed; the demand before
+    the entries of a shared path comes from ``shared_path_demand``.
     """
     dm = demand_map.select(F.col("part_number").alias("_dm_part"), F.col("revision_key").alias("_dm_key"), "demand_by_week")
+    entries = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.col("max_week_offset")),
+            lambda i: F.transform(
+                F.coalesce(F.try_element_at(F.col("demand_by_week"), i), F.array(F.lit(0.0))),
+                lambda d: F.struct(i.alias("week"), d.alias("demand")),
+            ),
+        )
+    )
+    needs = horizon.join(
+        dm,
+        (horizon["part_number"] == dm["_dm_part"]) & (text_key(horizon["revision"]) == dm["_dm_key"]),
+        "left",
+    ).select("path", "part_number", "revision", entries.alias("_entries"))
+    needs = needs.select(
+        "path",
+        "part_number",
+        "revision",
+        F.col("_entries.week").alias("week_offset"),
+        F.col("_entries.demand").alias("week_demand"),
+    )
+    shared = shared_path_demand(needs).select(
+        F.col("path").alias("_sh_path"),
+        F.col("part_number").alias("_sh_part"),
+        F.col("revision").alias("_sh_rev"),
+        "shared_prior",
+    )
     j = (
-        horizon.join(
-            dm,
-            (horizon["part_number"] == dm["_dm_part"]) & (text_key(horizon["revision"]) == dm["_dm_key"]),
+        needs.join(inv_alt.select("part_number", "on_hand_alt"), "part_number", "left")
+        .join(transit_alt.select("part_number", "in_transit_alt"), "part_number", "left")
+        .join(parent_stock.select("path", "on_hand_in_parents"), "path", "left")
+        .join(
+            shared,
+            (F.col("path") == F.col("_sh_path"))
+            & (F.col("part_number") == F.col("_sh_part"))
+            & F.col("revision").eqNullSafe(F.col("_sh_rev")),
             "left",
         )
-        .join(inv_alt.select("part_number", "on_hand_alt"), "part_number", "left")
-        .join(parent_stock.select("path", "on_hand_in_parents"), "path", "left")
-        .join(transit_alt.select("part_number", "in_transit_alt"), "part_number", "left")
     )
     stock = F.coalesce(F.col("on_hand_alt"), F.lit(0.0)) + F.coalesce(F.col("on_hand_in_parents"), F.lit(0.0))
     transit = F.coalesce(F.col("in_transit_alt"), F.lit(0.0))
-    weeks = F.sequence(F.lit(0), F.col("max_week_offset"))
-    demand = F.transform(
-        weeks, lambda i: F.coalesce(F.try_element_at(F.col("demand_by_week"), i), F.lit(0.0))
-    )
-    base = j.select(
+    with_prior = j.select(
         "path",
         "part_number",
         "revision",
-        demand.alias("week_demand"),
+        "week_offset",
+        "week_demand",
         stock.alias("stock"),
         (stock + transit).alias("stock_with_in_transit"),
         transit.alias("in_transit"),
+        F.coalesce("shared_prior", _running(F.col("week_demand"))).alias("prior_demand"),
     )
-    start = F.struct(F.lit(0.0).alias("run"), F.array().cast("array<double>").alias("prior"))
-    running = F.aggregate(
-        F.col("week_demand"),
-        start,
-        lambda acc, x: F.struct((acc["run"] + x).alias("run"), F.concat(acc["prior"], F.array(acc["run"])).alias("prior")),
-    )
-    with_prior = base.withColumn("prior_demand", running["prior"])
 
     def cov(fn, stock_col):
         return F.zip_with(F.col("week_demand"), F.col("prior_demand"), lambda d, pr: fn(F.col(stock_col), pr, d))
@@ -110,6 +191,7 @@ def line_weeks(
 
 
 _WEEK_ARRAYS = (
+    "week_offset",
     "week_demand",
     "prior_demand",
     "week_coverage",
@@ -119,18 +201,17 @@ _WEEK_ARRAYS = (
 
 
 def weekly_coverage(lines: DataFrame, p: ReportParams) -> DataFrame:
-    """J3-J5 as rows: one per line and week 0..horizon."""
+    """J3-J5 as rows: one per line, week 0..horizon and demand of the week."""
     zipped = F.arrays_zip(*[F.col(c) for c in _WEEK_ARRAYS])
     rows = lines.select(
         "path", "part_number", "revision", "stock", "stock_with_in_transit", "in_transit",
-        F.posexplode(zipped).alias("week_offset", "_w"),
+        F.explode(zipped).alias("_w"),
     )
     return rows.select(
         "path",
         "part_number",
         "revision",
-        "week_offset",
-        F.date_add(F.lit(p.week0), F.col("week_offset") * 7).alias("demand_week"),
+        F.date_add(F.lit(p.week0), F.col("_w.week_offset") * 7).alias("demand_week"),
         "stock",
         "stock_with_in_transit",
         "in_transit",

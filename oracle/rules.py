@@ -237,7 +237,7 @@ WITH rolled AS (
 SELECT path, CAST(sum(h * per) AS DOUBLE) AS on_hand_in_parents, CAST(COALESCE(sum(h / q), 0) AS DOUBLE) AS sets_in_parents,
        count(q) AS valid_parent_count
 FROM held GROUP BY path""",
-    # weeks: one list a part, one list a line
+    # weeks: one list a part, one list a line, one queue a path
     "last_week": """
 SELECT part_number, COALESCE(revision, '') AS rev, max((demand_week - DATE '@W0@') // 7) AS week
 FROM weekly_remaining_demand GROUP BY ALL""",
@@ -247,23 +247,30 @@ FROM spine s LEFT JOIN last_week l ON l.part_number = s.part_number AND l.rev =
 WHERE s.part_number IS NOT NULL AND s.path IS NOT NULL""",
     "week_list": """
 SELECT part_number, COALESCE(revision, '') AS rev,
-       map_from_entries(list({'k': (demand_week - DATE '@W0@') // 7, 'v': week_demand})) AS need
-FROM weekly_remaining_demand GROUP BY ALL""",
+       map_from_entries(list({'k': week, 'v': demands})) AS need
+FROM (SELECT part_number, COALESCE(revision, '') AS revision, (demand_week - DATE '@W0@') // 7 AS week,
+             list(week_demand ORDER BY revision IS NOT NULL) AS demands
+      FROM weekly_remaining_demand GROUP BY 1, 2, 3) GROUP BY ALL""",
     "weekly_stock_position": """
 WITH lists AS (
   SELECT h.path, h.part_number, h.revision, COALESCE(i.on_hand_alt, 0) + COALESCE(p.on_hand_in_parents, 0) AS stock,
          COALESCE(t.in_transit_alt, 0) AS in_transit,
-         list_transform(range(0, h.max_week_offset + 1), lambda w: COALESCE(n.need[w], 0)) AS need
+         flatten(list_transform(range(0, h.max_week_offset + 1), lambda w:
+           list_transform(COALESCE(n.need[w], [0.0]), lambda d: {'w': w, 'd': d}))) AS need
   FROM demand_horizon h
   LEFT JOIN week_list n ON n.part_number = h.part_number AND n.rev = COALESCE(h.revision, '')
   LEFT JOIN inventory_alt i ON i.part_number = h.part_number
   LEFT JOIN line_parent_stock p ON p.path = h.path
   LEFT JOIN in_transit_alt t ON t.part_number = h.part_number
-), numbered AS (SELECT *, unnest(range(0, len(need))) AS w FROM lists)
-SELECT path, part_number, revision, CAST(w AS INTEGER) AS week_offset, CAST(DATE '@W0@' + CAST(7 * w AS INTEGER) AS DATE) AS demand_week,
-       need[w + 1] AS week_demand, stock, stock + in_transit AS stock_with_in_transit, in_transit,
-       COALESCE(list_sum(need[1:w]), 0) AS prior_demand
-FROM numbered""",
+), numbered AS (SELECT * EXCLUDE (need), unnest(need) AS e, unnest(range(0, len(need))) AS nth FROM lists
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY e.w, md5(concat(part_number, '|', COALESCE(revision, ''))),
+                               part_number, revision NULLS FIRST, nth) AS place FROM numbered
+), queues AS (SELECT path, list(e.d ORDER BY place) AS queue FROM placed GROUP BY path)
+SELECT path, part_number, revision, CAST(e.w AS INTEGER) AS week_offset, CAST(DATE '@W0@' + CAST(7 * e.w AS INTEGER) AS DATE) AS demand_week,
+       e.d AS week_demand, stock, stock + in_transit AS stock_with_in_transit, in_transit,
+       COALESCE(list_sum(queue[1:place - 1]), 0) AS prior_demand
+FROM placed JOIN queues USING (path)""",
     "weekly_coverage": f"""
 SELECT * EXCLUDE (need, before), {_covered('stock')} AS week_coverage,
        {_covered('stock_with_in_transit')} AS week_coverage_with_in_transit,

@@ -5,7 +5,8 @@ revision demanded as both NULL and '', a root that is also a child, an
 ancestor with quantity 0, a path without a closing pipe, duplicate hierarchy
 rows, demand beyond the horizon, unparsable dates and quantities, receipt
 ties, parts in several overlapping alternate groups, blank first alternates,
-superseded shipment rows, zero and missing costs.
+superseded shipment rows, zero and missing costs, a part with both a NULL and
+an '' revision, a path that three parts share.
 """
 
 import datetime as dt
@@ -46,6 +47,11 @@ ROWS = {
         line("|ROOT2|A|PART1|C|", "PART1", "C", 1, "ROOT2", "ROOT2", "A", 5.0, BUY),
         line("|ROOT3|B|", "ROOT3", "B", 0, None, "ROOT3", "B", 1.0, "make"),
         line("|ROOT3|B|PART2|C|", "PART2", "C", 1, "ROOT3", "ROOT3", "B", 4.0, BUY),
+        line("|ROOT3|B|PART3|", "PART3", None, 1, "ROOT3", "ROOT3", "B", 1.0, BUY),
+        line("|ROOT3|B|ASSY|B01|PART3|", "PART3", "", 2, "ASSY", "ROOT3", "B", 2.0, BUY),
+        line("|ROOT1|A|PART3|", "PART3", "", 1, "ROOT1", "ROOT1", None, 1.0, BUY),
+        line("|ROOT1|A|PART1|C|", "PART4", "D", 1, "ROOT1", "ROOT1", None, 3.0, BUY),
+        line("|ROOT1|A|PART1|C|", "PART3", None, 1, "ROOT1", "ROOT1", None, 1.0, BUY),
     ],
     "demand": [
         dict(part_number="ROOT1", revision="", quantity=10.0, date="06/17/1998", demand_type="Production"),
@@ -118,6 +124,8 @@ ROWS = {
         dict(default_code="PART2", quantity=1.0, stock_location_id=6),
         dict(default_code="ROOT2", quantity=4.0, stock_location_id=2),
         dict(default_code="PART2", quantity=None, stock_location_id=2),
+        dict(default_code="PART3", quantity=25.0, stock_location_id=2),
+        dict(default_code="PART4", quantity=50.0, stock_location_id=2),
     ],
     "shipments": [
         dict(shipment_id="S1", state=" In Transit ", updated_at="1998-06-01 00:00:00"),
