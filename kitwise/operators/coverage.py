@@ -40,6 +40,18 @@ def demand_horizon(spine: DataFrame, last_week: DataFrame, p: ReportParams) -> D
     )
 
 
+def shared_paths(spine: DataFrame) -> DataFrame:
+    """Paths of lines that differ in part or revision, of which a sound hierarchy has none."""
+    line = F.struct("part_number", "revision")
+    return (
+        spine.where(F.col("part_number").isNotNull() & F.col("path").isNotNull())
+        .groupBy("path")
+        .agg(F.min(line).alias("_least"), F.max(line).alias("_most"))
+        .where(~F.col("_least").eqNullSafe(F.col("_most")))
+        .select("path")
+    )
+
+
 def weekly_demand_map(remaining: DataFrame, p: ReportParams) -> DataFrame:
     """Remaining demand of weeks 0..max per (part, revision key) as a map offset -> demands.
 
@@ -73,7 +85,7 @@ def _running(demands: Column) -> Column:
     )["prior"]
 
 
-def shared_path_demand(needs: DataFrame) -> DataFrame:
+def shared_path_demand(needs: DataFrame, shared: DataFrame) -> DataFrame:
     """The demand before each entry of lines that share their path with other lines.
 
     ``needs`` has (path, part_number, revision) and the arrays ``week_offset``
@@ -83,9 +95,8 @@ def shared_path_demand(needs: DataFrame) -> DataFrame:
     added up along the path (at most 104 x 4096 a path), and entries within
     their block, so however many lines a path has no task gets them all.
     """
-    lines = needs.groupBy("path").agg((F.count("*") > 1).alias("_shared")).where("_shared").select("path")
     entry = F.posexplode(F.arrays_zip("week_offset", "week_demand")).alias("_nth", "_entry")
-    rows = needs.join(lines, "path", "left_semi").select(
+    rows = needs.join(shared, "path", "left_semi").select(
         "path",
         "part_number",
         "revision",
@@ -112,6 +123,7 @@ def shared_path_demand(needs: DataFrame) -> DataFrame:
 
 def line_weeks(
     horizon: DataFrame,
+    shared: DataFrame,
     demand_map: DataFrame,
     inv_alt: DataFrame,
     parent_stock: DataFrame,
@@ -147,7 +159,7 @@ def line_weeks(
         F.col("_entries.week").alias("week_offset"),
         F.col("_entries.demand").alias("week_demand"),
     )
-    shared = shared_path_demand(needs).select(
+    on_shared = shared_path_demand(needs, shared).select(
         F.col("path").alias("_sh_path"),
         F.col("part_number").alias("_sh_part"),
         F.col("revision").alias("_sh_rev"),
@@ -158,7 +170,7 @@ def line_weeks(
         .join(transit_alt.select("part_number", "in_transit_alt"), "part_number", "left")
         .join(parent_stock.select("path", "on_hand_in_parents"), "path", "left")
         .join(
-            shared,
+            on_shared,
             (F.col("path") == F.col("_sh_path"))
             & (F.col("part_number") == F.col("_sh_part"))
             & F.col("revision").eqNullSafe(F.col("_sh_rev")),

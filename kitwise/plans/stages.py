@@ -50,6 +50,7 @@ HOT_STAGES = (
     "in_transit",
     "part_net_demand",
     "alternate_sums",
+    "shared_paths",
 )
 
 
@@ -372,6 +373,10 @@ class ReportStages:
     def demand_horizon(self) -> DataFrame:
         return coverage.demand_horizon(self.spine, self.last_demand_week, self.p)
 
+    @cached_property
+    def shared_paths(self) -> DataFrame:
+        return coverage.shared_paths(self.spine)
+
     @cached_property
     def weekly_demand_map(self) -> DataFrame:
         return coverage.weekly_demand_map(self.weekly_remaining_demand, self.p)
@@ -380,6 +385,7 @@ class ReportStages:
     def line_weeks(self) -> DataFrame:
         return coverage.line_weeks(
             self.demand_horizon,
+            self.shared_paths,
             self.weekly_demand_map,
             self.inventory_alt,
             self.line_parent_stock,

@@ -43,6 +43,7 @@ def spark_rows(spark, horizon, remaining, stock, transit):
     r = spark.createDataFrame(remaining, "part_number string, revision string, demand_week date, week_demand double")
     lines = coverage.line_weeks(
         h,
+        coverage.shared_paths(h),
         coverage.weekly_demand_map(r, PARAMS),
         spark.createDataFrame(list(stock.items()), "part_number string, on_hand_alt double"),
         spark.createDataFrame([], "path string, on_hand_in_parents double"),
