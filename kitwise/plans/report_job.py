@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kitwise.params import REVISION_SEGMENT_PATTERN, LocationRule, ReportParams, ShipmentFields, SourceColumns
 from kitwise.plans.stages import ReportStages
-from kitwise.sources.sinks import default_output_name, write_csv, write_parquet
+from kitwise.sources.publish import publish_folder, publish_table
+from kitwise.sources.sinks import default_output_name, write_csv
 from kitwise.sources.tables import INPUT_NAMES, ReportInputs, from_tables
 
 
@@ -84,8 +85,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--po-cost-label", default=ReportParams.po_cost_label)
     ap.add_argument("--forecast-cost-label", default=ReportParams.forecast_cost_label)
     ap.add_argument("--as-of", default=None, help="as-of date YYYY-MM-DD (default: today)")
-    ap.add_argument("--output", default=None, help="output directory (default: dated name)")
-    ap.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    ap.add_argument("--output", default=None, help="output directory, or table name (default: dated name)")
+    ap.add_argument("--format", choices=("csv", "parquet", "table"), default="csv")
+    ap.add_argument("--table-folder", default=None, help="with --format table: folder of the table's versions")
     ap.add_argument("--overwrite", action="store_true", help="replace an existing output")
     ap.add_argument("--no-header", action="store_true")
     ap.add_argument("--delimiter", default=",")
@@ -99,6 +101,8 @@ def main(argv: list[str] | None = None) -> None:
         help="CSV file of ordered 'pattern,category' rows (SQL LIKE patterns, first match wins)",
     )
     args = ap.parse_args(argv)
+    if (args.format == "table") != (args.table_folder is not None):
+        ap.error("--format table and --table-folder go together")
 
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
     rules: tuple[LocationRule, ...] = ()
@@ -130,8 +134,10 @@ def main(argv: list[str] | None = None) -> None:
                 delimiter=args.delimiter,
                 single_file=args.single_file,
             )
+        elif args.format == "table":
+            publish_table(df, out, args.table_folder, overwrite=args.overwrite)
         else:
-            write_parquet(df, out, overwrite=args.overwrite)
+            publish_folder(df, out, overwrite=args.overwrite)
 
     run_report(inputs, params, sink, published=not args.raw)
 

@@ -1,4 +1,4 @@
-"""Report sinks: CSV (the published file) and Parquet / table (a dataset)."""
+"""The CSV sink (the report as a file); ``publish`` has the dataset sinks."""
 
 from __future__ import annotations
 
@@ -35,11 +35,3 @@ def write_csv(
         .csv(path)
     )
 
-
-def write_parquet(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    df.write.mode("overwrite" if overwrite else "error").parquet(path)
-
-
-def save_table(df: DataFrame, name: str, overwrite: bool = False) -> None:
-    """Publish the report as a catalog table."""
-    df.write.mode("overwrite" if overwrite else "error").saveAsTable(name)
