@@ -22,13 +22,17 @@ is dropped or capped for its length.
 
 Edge cases: a null or empty page, or one without content, has the empty text
 (0 code points). Unclosed elements end with their parent, a page cut short is
-read to its end, text without any element is one block. Repeated rows give
+read to its end, text without any element is one block. A quote that nothing
+closes ends with its tag. Formulas and the text inside objects and canvases are
+inline text. The work grows in proportion to the page, also with elements that
+nothing closes and with any nesting. Repeated rows give
 repeated results. Columns other than the given ones are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
@@ -43,11 +47,12 @@ SMOOTH = (1.0, 0.6, 0.14)
 THRESHOLD = 0.35
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select object canvas".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select".split())
 #: Elements inside a block; all others begin and end blocks.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span"
-    " strike strong sub sup time tt u var wbr img".split()
+    " strike strong sub sup time tt u var wbr img object canvas math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt"
+    " mroot mover munder munderover mtable mtr mtd mstyle mpadded menclose semantics".split()
 )
 #: Elements that a new block element of the right kind closes.
 CLOSES_P = frozenset(
@@ -79,13 +84,14 @@ COMMENT_WORDS = frozenset("comment comments commentlist respond replies reply di
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？、؟]")
 #: Class words that tell which parts a page has, not what the element is.
 _ABOUT = re.compile(r"(?<![^\s])(?:has|no|with|without|hide|show)-\S+")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
 _WORD = re.compile(r"[A-Za-z][A-Za-z0-9]*")
 
 
@@ -99,20 +105,26 @@ class _Element:
     ``comments``: the weak words name reader comments. ``path`` numbers the tag path; ``boiler`` is settled when the page has been read.
     """
 
-    __slots__ = ("boiler", "comments", "good", "heading", "hidden", "in_article", "mass", "name", "parent", "path", "rest", "strong", "taken", "weak")
+    __slots__ = (
+        "article", "articles", "boiler", "comments", "depth", "good", "heading", "hidden", "in_article", "mass", "name", "named",
+        "parent", "path", "rest", "strong", "taken", "weak",
+    )
 
     def __init__(self, name: str, parent: _Element | None, attrs: dict[str, str], paths: dict[tuple[int, str], int]):
         self.name, self.parent = name, parent
         words = _WORD.findall(_ABOUT.sub("", (attrs.get("class", "") + " " + attrs.get("id", "")).lower()))
         mark = name + "".join(f".{w}" for w in attrs.get("class", "").lower().split())
         self.path = paths.setdefault((parent.path if parent else -1, mark), len(paths))
+        self.depth = parent.depth + 1 if parent else 0
         inside = parent is not None and parent.in_article
         self.in_article = inside or name in ("article", "main")
+        self.article: _Element | None = self if name in ("article", "main") else parent.article if parent else None
+        self.articles = int(self.article is self)  # within it
         named = name not in ("html", "body", "main", "article") and name not in HEADINGS
         # an article's own header: its headings count, the rest doesn't
         own_header = inside and (name == "header" or (named and "header" in words))
         self.heading = own_header or (parent is not None and parent.heading)
-        self.hidden = "hidden" in attrs or re.search(r"display\s*:\s*none", attrs.get("style", "").lower()) is not None
+        self.hidden = "hidden" in attrs or _HIDDEN.search(attrs.get("style", "").lower()) is not None
         self.strong = (
             self.hidden
             or name in BOILER_TAGS
@@ -122,12 +134,7 @@ class _Element:
         self.weak = named and any(w in BOILER_WORDS and not (own_header and w == "header") for w in words)
         self.comments = self.weak and any(w in COMMENT_WORDS for w in words)
         self.boiler, self.good, self.rest, self.taken, self.mass = False, 0, 0, False, 0.0
-
-    def line(self) -> Iterator[_Element]:
-        e: _Element | None = self
-        while e:
-            yield e
-            e = e.parent
+        self.named: _Element | None = None
 
 
 class Block:
@@ -139,14 +146,76 @@ class Block:
         self.element, self.text, self.link = element, text, link
 
 
-def _past(html: str, at: int, tag: str) -> int:
-    """Where the element ``tag`` that is open at ``at`` ends; ``at`` if it doesn't."""
-    depth = 1
-    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(html, at):
-        depth += -1 if m[1] else 1
-        if not depth:
-            return m.end()
-    return at
+class _Ends:
+    """Where inline elements of a page end, by one pass over the tags of each name."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.tags: dict[str, tuple[list[int], list[int], list[int]]] = {}
+
+    def _scan(self, tag: str) -> tuple[list[int], list[int], list[int]]:
+        starts, ends, depths = [], [], []
+        depth = 0
+        for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).finditer(self.html):
+            depth += -1 if m[1] else 1
+            starts.append(m.start())
+            ends.append(m.end())
+            depths.append(depth)
+        # for each tag the first one from there that leaves a lower depth than there was before it
+        lower, waiting = [len(starts)] * len(starts), []
+        for i, d in enumerate(depths):
+            before = depths[i - 1] if i else 0
+            waiting.append((before, i))
+            while waiting and waiting[-1][0] > d:
+                lower[waiting.pop()[1]] = i
+        return starts, ends, lower
+
+    def past(self, at: int, tag: str) -> int:
+        """Where the element ``tag`` that is open at ``at`` ends; ``at`` if it doesn't."""
+        if tag not in self.tags:
+            self.tags[tag] = self._scan(tag)
+        starts, ends, lower = self.tags[tag]
+        i = bisect_left(starts, at)
+        return ends[lower[i]] if i < len(starts) and lower[i] < len(starts) else at
+
+
+class _Open:
+    """The open elements: the innermost one, and all by name, so that tags find theirs without climbing."""
+
+    def __init__(self, root: _Element):
+        self.root = self.here = root
+        self.by_name: dict[str, list[_Element]] = defaultdict(list)
+        self.scopes: list[_Element] = []
+
+    def push(self, e: _Element) -> None:
+        self.here = e
+        self.by_name[e.name].append(e)
+        if e.name in SCOPE:
+            self.scopes.append(e)
+
+    def close(self, e: _Element) -> None:
+        """Close ``e`` and what is open inside it."""
+        while self.here.depth >= e.depth:
+            self.by_name[self.here.name].pop()
+            if self.here.name in SCOPE:
+                self.scopes.pop()
+            self.here = self.here.parent or self.root
+
+    def ended(self, tag: str) -> _Element | None:
+        """The element that an end tag closes."""
+        e = self.by_name[tag][-1] if self.by_name[tag] else None
+        beyond = e is not None and tag not in SCOPE and self.scopes and self.scopes[-1].depth > e.depth
+        return None if beyond else e
+
+    def outermost(self, names: set[str]) -> _Element | None:
+        """The outermost open element of these names inside the last scope."""
+        floor = self.scopes[-1].depth if self.scopes else 0
+        found = []
+        for name in names:
+            line = self.by_name[name]
+            i = bisect_right(line, floor, key=lambda e: e.depth)
+            found += line[i : i + 1]
+        return min(found, key=lambda e: e.depth, default=None)
 
 
 def blocks(html: str) -> tuple[list[Block], list[_Element]]:
@@ -157,7 +226,8 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
     paths: dict[tuple[int, str], int] = {}
     root = _Element("", None, {}, paths)
     elements = [root]
-    here, owner = root, root
+    line, owner = _Open(root), root
+    hidden = _Ends(html)
     at, n = 0, len(html)
     in_link = 0
 
@@ -174,7 +244,7 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
         text = html[at : m.start() if m else n]
         if text:
             if not parts:
-                owner = here
+                owner = line.here
             decoded = unescape(text)
             parts.append(decoded)
             if in_link:
@@ -191,15 +261,11 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
             if tag in INLINE:
                 in_link -= tag == "a" and in_link > 0
                 continue
-            e: _Element | None = here
-            while e is not None and e.name != tag:
-                if e.name in SCOPE and tag not in SCOPE:
-                    e = None
-                    break
-                e = e.parent
             flush()
-            if e is not None and e.parent is not None:
-                here, in_link = e.parent, 0
+            e = line.ended(tag)
+            if e is not None:
+                line.close(e)
+                in_link = 0
             continue
         if tag in RAW and not m["attrs"].rstrip().endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
@@ -211,9 +277,9 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
         if tag in INLINE:
             in_link += tag == "a"
             if tag not in VOID and m["attrs"].strip():
-                e = _Element(tag, here, _attributes(m["attrs"]), paths)
+                e = _Element(tag, line.here, _attributes(m["attrs"]), paths)
                 if e.hidden:
-                    at = _past(html, at, tag)
+                    at = hidden.past(at, tag)
                     in_link -= tag == "a" and in_link > 0
             continue
         flush()
@@ -221,25 +287,24 @@ def blocks(html: str) -> tuple[list[Block], list[_Element]]:
             continue
         if tag in CLOSES_P or tag in SAME_ENDS:
             ends = SAME_ENDS.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
-            e = here
-            while e is not None and e.name not in SCOPE:
-                if e.name in ends:
-                    here = e.parent or root
-                    e = here
-                    continue
-                e = e.parent
+            e = line.outermost(ends)
+            if e is not None:
+                line.close(e)
         if tag == "body":
-            while here.parent is not None and here.name == "head":
-                here = here.parent
-        here, in_link = _Element(tag, here, _attributes(m["attrs"]), paths), 0
-        elements.append(here)
+            while line.here.name == "head":
+                line.close(line.here)
+        e = _Element(tag, line.here, _attributes(m["attrs"]), paths)
+        in_link = 0
+        elements.append(e)
+        line.push(e)
         if m["attrs"].rstrip().endswith("/"):
-            here = here.parent or root
+            line.close(e)
     flush()
-    articles = [e for e in elements if e.name in ("article", "main")]
-    frames = {id(e) for e in set.intersection(*[set(a.line()) for a in articles])} if articles else set()
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.articles += e.articles
     for e in elements:
-        if id(e) in frames:  # a layout frame around every article, whose class names one of its parts
+        if root.articles and e.articles == root.articles:  # a layout frame around every article, whose class names one of its parts
             e.weak = False
     _spare(out, elements)
     for e in elements:
@@ -264,22 +329,21 @@ def _spare(page: list[Block], elements: list[_Element]) -> None:
     least = THRESHOLD * root.mass / max(1, sum(len(b.text) for b in own))
     content_blocks = [b for b in own if weight[b.element.path] > 0 and weight[b.element.path] ** 0.5 >= least]
 
-    def content_outside(e: _Element) -> bool:
-        for b in content_blocks:
-            for x in b.element.line():
-                if x is e or x.weak:
-                    break
-            else:
-                return True
-        return False
-
-    has_article = any(b.element.in_article and not any(x.weak for x in b.element.line()) for b in content_blocks)
+    # blocks under no part by name, and those that are free of one when the innermost is spared (outer ones are settled first)
+    for e in elements:
+        e.named = e if e.weak else e.parent.named if e.parent else None
+    under: dict[int, int] = defaultdict(int)
+    for b in content_blocks:
+        under[id(b.element.named)] += 1
+    has_article = any(b.element.in_article and b.element.named is None for b in content_blocks)
+    free = under[id(None)]
     for e in elements:
         e.boiler = e.strong or (e.parent is not None and e.parent.boiler)
         if e.weak and not e.boiler and e.mass > 0:
-            scope = next((x for x in e.line() if x is not e and x.name in ("article", "main")), root) if e.in_article else root
-            if e.mass > scope.mass / 2 and not ((e.comments or (has_article and not e.in_article)) and content_outside(e)):
+            scope = e.parent.article or root
+            if e.mass > scope.mass / 2 and not ((e.comments or (has_article and not e.in_article)) and free):
                 e.weak = False
+                free += under[id(e)]
         e.boiler = e.boiler or e.weak
 
 
