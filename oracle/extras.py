@@ -43,21 +43,15 @@ LEFT JOIN (
   GROUP BY x.part_number
 ) po ON s.parent_bom = po.part_number"""
 
-_INLINE = r"""CASE
-  WHEN p IS NULL OR p = '' THEN p
-  WHEN regexp_matches(p, ':REV[A-Za-z0-9]+') THEN
-    trim(regexp_replace(regexp_replace(p, ':REV[A-Za-z0-9]+', '', 'g'), '[|]{2,}', '|', 'g'), '|')
-  ELSE
-    (CASE WHEN starts_with(p, '|') AND NOT starts_with(c, '|') THEN '|' ELSE '' END) || c
-    || (CASE WHEN ends_with(p, '|') AND NOT ends_with(c, '|') THEN '|' ELSE '' END)
-END"""
-
-STAGES["plain_path_inline"] = f"""
-SELECT p AS path, {_INLINE} AS plain_path
-FROM (SELECT p, regexp_replace(regexp_replace(p, '[|][A-Za-z][A-Za-z0-9]{{0,2}}[|]', '|', 'g'), '[|]{{2,}}', '|', 'g') AS c
-      FROM (SELECT path AS p FROM in_bom
-            UNION ALL
-            SELECT regexp_replace(path, '[|]([A-Za-z][A-Za-z0-9]{{0,2}})[|]', ':REV\\1|', 'g') FROM in_bom))"""
+# parts of a path with inline revisions are split, stripped of them and joined; other paths lose revision segments
+STAGES["plain_path_inline"] = r"""
+WITH paths AS (
+  SELECT path, list_filter(string_split(regexp_replace(path, ':REV[A-Za-z0-9]+', '', 'g'), '|'), lambda x: x <> '') AS parts
+  FROM (SELECT path FROM in_bom
+        UNION ALL SELECT regexp_replace(path, '[|]([A-Za-z][A-Za-z0-9]{0,2})[|]', ':REV\1|', 'g') FROM in_bom))
+SELECT path, IF(regexp_matches(path, ':REV[A-Za-z0-9]'), array_to_string(parts, '|'),
+                regexp_replace(regexp_replace(path, '[|][A-Za-z][A-Za-z0-9]{0,2}[|]', '|', 'g'), '[|]+', '|', 'g')) AS plain_path
+FROM paths"""
 
 # the same shipments, as plain columns
 STAGES["in_transit_row_objects"] = "SELECT part_number, in_transit_quantity FROM in_transit"

@@ -57,6 +57,40 @@ JOIN assemblies a ON a.path_without_revision = s.beginning AND a.top_level_bom =
 JOIN lines c ON c.path_without_revision = s.whole AND c.top_level_bom = s.top_level_bom
  AND s.rev = COALESCE(c.top_level_revision, '')
 WHERE c.part_number IS NOT NULL""",
+    # roots: what is asked for, less what is inside something else
+    "demanded_roots": "SELECT part_number, revision FROM eligible_roots ANTI JOIN child_parts USING (part_number)",
+    # demand: spans of weeks are rows, demand is summed a root and span before it meets the lines
+    "demand_spans": """
+SELECT * FROM (VALUES
+  ('gross_past8', DATE '@W0m7@', DATE '@W0@'), ('gross_next4', DATE '@W0@', DATE '@W0p4@' - 7),
+  ('gross_next8', DATE '@W0@', DATE '@W0p8@' - 7), ('gross_current', DATE '@W0@', DATE '@W0@')) AS t(span, first_week, last_week)""",
+    "root_spans": """
+SELECT d.top_level_bom AS root, COALESCE(d.top_level_revision, '') AS rev, d.demand_type, s.span,
+       sum(IF(d.demand_week BETWEEN s.first_week AND s.last_week, d.demand_quantity, 0)) AS asked
+FROM demand_rows d, demand_spans s GROUP BY ALL""",
+    "lines_asked": """
+SELECT l.path, l.part_number, l.revision, r.demand_type, s.span,
+       IF(r.root IS NULL, 0, r.asked * COALESCE(l.adjusted_quantity, 0)) AS gross
+FROM lines l CROSS JOIN demand_spans s
+LEFT JOIN root_spans r ON r.root = l.top_level_bom AND r.rev = COALESCE(l.top_level_revision, '') AND r.span = s.span""",
+    "line_gross_demand": """
+SELECT * FROM (PIVOT lines_asked ON span IN ('gross_past8', 'gross_next4', 'gross_next8') USING sum(gross)
+               GROUP BY path, part_number, revision)""",
+    "part_gross_demand_by_type": """
+SELECT * FROM (PIVOT lines_asked ON span IN ('gross_past8', 'gross_next8', 'gross_current') USING sum(gross)
+               GROUP BY part_number, revision, demand_type)""",
+    "part_gross_demand_this_week": """
+SELECT part_number, revision, sum(gross_current) AS current_week_gross FROM part_gross_demand_by_type GROUP BY ALL""",
+    "root_weeks": """
+SELECT top_level_bom AS root, COALESCE(top_level_revision, '') AS rev, demand_week, demand_type, sum(demand_quantity) AS asked
+FROM demand_rows WHERE demand_week >= DATE '@W0@' GROUP BY ALL""",
+    "parts_in_roots": """
+SELECT part_number, revision, top_level_bom AS root, COALESCE(top_level_revision, '') AS rev,
+       sum(COALESCE(adjusted_quantity, 0)) AS used
+FROM lines GROUP BY ALL""",
+    "weekly_gross_demand": """
+SELECT p.part_number, p.revision, w.demand_week, w.demand_type, sum(w.asked * p.used) AS gross_week_demand
+FROM parts_in_roots p JOIN root_weeks w USING (root, rev) GROUP BY ALL""",
     # consumption by the demand type it is taken from
     "used_by_type": """
 UNPIVOT (SELECT part_number, COALESCE(production_consumption, 0) AS "Production", COALESCE(nest_consumption, 0) AS "Spares"
