@@ -1,8 +1,9 @@
 """Weekly demand of parts: no row of a week is shuffled, whatever the number of roots of a part."""
 
 import datetime as dt
+import re
 
-from kitwise.operators import demand
+from kitwise.operators import coverage, demand
 from kitwise.sources.standins import PARAMS
 
 W0 = PARAMS.week0
@@ -75,3 +76,46 @@ def test_remaining_demand(spark, tmp_path):
     ]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(expect, key=str)
     assert moved_weeks(got) == []
+
+
+def shuffled_columns(spark, df):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    return " ".join(re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan))
+
+
+def test_weeks_of_lines_are_made_where_the_parts_are(spark, tmp_path):
+    demand.root_weekly_demand(demands(spark), PARAMS).write.parquet(f"{tmp_path}/roots")
+    roots = spark.read.parquet(f"{tmp_path}/roots")
+    used = spark.createDataFrame([], "part_number string, production_consumption double, nest_consumption double")
+    remaining = demand.weekly_remaining_demand(lines(spark), roots, used, PARAMS)
+    horizon = spark.createDataFrame(
+        [("|R1|P1|", "P1", "A", 2), ("|R2|P3|", "P3", None, 1), ("|R3|P4|", "P4", "A", 0)],
+        "path string, part_number string, revision string, max_week_offset int",
+    ).repartition("path")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = coverage.weeks_of_stock(
+            coverage.line_weeks(
+                horizon,
+                coverage.shared_paths(horizon),
+                coverage.weekly_demand_map(remaining, PARAMS),
+                spark.createDataFrame([("P1", 36.5)], "part_number string, on_hand_alt double"),
+                spark.createDataFrame([("|R2|P3|", 9.0)], "path string, on_hand_in_parents double"),
+                spark.createDataFrame([("P3", 2.0)], "part_number string, in_transit_alt double"),
+            )
+        )
+        moved = shuffled_columns(spark, got)
+        rows = sorted(map(tuple, got.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # P1 has 36 in week 0 and 3 in week 2; P3 has 8 and 0 (of both spellings) in week 0, 4 in week 1
+    assert rows == [
+        ("|R1|P1|", "P1", "A", 2 + 0.5 / 3, 2 + 0.5 / 3, 0.0),
+        ("|R2|P3|", "P3", None, 2.25, 2.75, 0.25),
+        ("|R3|P4|", "P4", "A", 1.0, 1.0, 0.0),
+    ]
+    assert "path" in moved
+    assert not re.search(r"demand_by_week|_revisions|week_demand|week_offset|\bweeks#", moved)
+
