@@ -6,7 +6,9 @@ Each set is a star from its parts to its first part. Large-star and small-star
 steps take turns until nothing changes: every part above the smallest of its
 neighbours is hung below that one, so a chain of any length shrinks by a
 constant factor a round. Each round is a table that the next one reads, so
-plans and size estimates start anew, and the round before is deleted.
+plans and size estimates start anew, and the round before is deleted. All
+joins are of equals in size, merged by part: none is collected for a broadcast,
+so the driver gets nothing that grows with the links or the rounds.
 """
 
 from __future__ import annotations
@@ -31,14 +33,14 @@ def _hang_large(links: DataFrame) -> DataFrame:
     """Each larger neighbour of a part is linked to the smallest of the part and its neighbours."""
     sides = links.unionByName(links.select(F.col("low").alias("part"), F.col("part").alias("low")))
     least = sides.groupBy("part").agg(F.min("low").alias("_min")).select("part", F.least("part", "_min").alias("_min"))
-    hung = sides.where(F.col("low") > F.col("part")).join(least, "part")
+    hung = sides.where(F.col("low") > F.col("part")).join(least.hint("merge"), "part")
     return hung.select(F.col("low").alias("part"), F.col("_min").alias("low")).distinct()
 
 
 def _hang_small(links: DataFrame) -> DataFrame:
     """A part and its smaller neighbours are linked to the smallest of them."""
     least = links.groupBy("part").agg(F.min("low").alias("_min"))
-    others = links.join(least, "part").where(F.col("low") != F.col("_min"))
+    others = links.join(least.hint("merge"), "part").where(F.col("low") != F.col("_min"))
     return least.select("part", F.col("_min").alias("low")).unionByName(
         others.select(F.col("low").alias("part"), F.col("_min").alias("low"))
     ).distinct()
@@ -72,9 +74,9 @@ def alternate_components(
             break
         seen = now
     nodes = sets.select(F.explode("parts").alias("part")).distinct()
-    labels = nodes.join(links, "part", "left").select("part", F.coalesce("low", "part").alias("component"))
+    labels = nodes.join(links.hint("merge"), "part", "left").select("part", F.coalesce("low", "part").alias("component"))
     sizes = labels.groupBy("component").agg(F.count("*").alias("component_size"))
-    return labels.join(sizes, "component").select(F.col("part").alias("part_number"), "component", "component_size")
+    return labels.join(sizes.hint("merge"), "component").select(F.col("part").alias("part_number"), "component", "component_size")
 
 
 def direct_parent_on_hand(rows: DataFrame, on_hand_col: str = "on_hand", usage_col: str = "quantity") -> DataFrame:

@@ -119,3 +119,20 @@ def test_weeks_of_lines_are_made_where_the_parts_are(spark, tmp_path):
     assert "path" in moved
     assert not re.search(r"demand_by_week|_revisions|week_demand|week_offset|\bweeks#", moved)
 
+
+def test_components_collect_no_links_for_broadcasts(spark, monkeypatch):
+    from kitwise.operators import components
+
+    plans = []
+    write = components.Folder.write
+
+    def written(self, df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, df, name)
+
+    monkeypatch.setattr(components.Folder, "write", written)
+    rows = spark.createDataFrame([(f"P{i:02}", f"P{i + 1:02}") for i in range(9)] + [("X", None)], "part_number string, alternates_text string")
+    found = components.alternate_components(rows, ("alternates_text",))
+    plans.append(("result", found._jdf.queryExecution().executedPlan().toString()))
+    assert {(r[1], r[2]) for r in found.collect()} == {("P00", 10), ("X", 1)}
+    assert len(plans) > 3 and [name for name, plan in plans if "Broadcast" in plan] == []
