@@ -19,7 +19,7 @@ any store will do:
 Texts are encoded once, in units that are kept in a table: a byte-level
 tokenizer's words never go on over a space that follows another character, nor
 from an ASCII letter to a mark, so a text's ids are those of its units in turn. New units are encoded many at a time, joined, and told apart by the
-lengths of their tokens. Ids are counted, coded, and only then moved, by
+lengths of their tokens. Ids are counted as they are made, coded, and only then moved, by
 one range exchange of the codes. Strings of special tokens in a text are
 ordinary text.
 
@@ -43,14 +43,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from kitwise.llm.pieces import BATCH, KEPT, _Table
+from kitwise.llm.pieces import BATCH, _Table
 from kitwise.llm.scratch import Scratch
 from kitwise.llm.words import batches, span_hashes
 
 #: Bits of a code at most; ids of a block; ids from one checkpoint to the next.
 LIMIT, BLOCK, STEP = 18, 1 << 15, 256
-#: Ids that are packed or decoded at once.
-AT_ONCE = 1 << 21
+#: Ids that are packed, and decoded, at once.
+PACKED, AT_ONCE = 1 << 19, 1 << 21
+#: Units that a table holds before it forgets the seldom used.
+KEPT = 1 << 19
 
 
 # Text to ids -----------------------------------------------------------------------------------
@@ -167,17 +169,26 @@ def _encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
-def _ids_of(definition, end_id: int, width: str):
+def _ids_of(definition, end_id: int, width: str, id_type: pa.DataType):
+    """(id, ids, counts): the ids of each text, and last a row with how often the task's texts have each id."""
+    tally = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())]))
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
+        total = np.zeros(max(len(encoder.bytes), end_id + 1), np.int64)
         for part in parts:
             texts = part.column(1).to_pylist()
             for lo, hi in batches(texts, BATCH):
                 ids, n = encoder.encode([t or "" for t in texts[lo:hi]])
                 ids = np.insert(ids, np.cumsum(n), end_id)
+                total += np.bincount(ids, minlength=len(total))
                 coded, cut = ids.astype(width).tobytes(), (np.append(0, np.cumsum(n + 1)) * np.dtype(width).itemsize).tolist()
                 own = [coded[a:b] for a, b in zip(cut, cut[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(lo, hi - lo), pa.array(own, pa.binary())], names=["id", "ids"])
+                columns = [part.column(0).slice(lo, hi - lo), pa.array(own, pa.binary()), pa.nulls(hi - lo, tally)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "counts"])
+        counts = [{"token": t, "n": int(total[t])} for t in np.flatnonzero(total).tolist()]
+        columns = [pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([counts], tally)]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "counts"])
 
     return run
 
@@ -278,22 +289,6 @@ def _book(codes: DataFrame) -> bytes:
 
 
 # Writing ---------------------------------------------------------------------------------------
-def _counted(width: str):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for part in parts:
-            own = np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), width))
-            if len(own) > len(total):
-                own[: len(total)] += total
-                total = own
-            else:
-                total[: len(own)] += own
-        token = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(total[token])], names=["token", "n"])
-
-    return run
-
-
 def _coded(book, width: str):
     """Parts of documents: (id, size, hash, row, before, n, after, checkpoints, payload)."""
 
@@ -303,7 +298,7 @@ def _coded(book, width: str):
         for part in parts:
             rows = part.column(part.schema.get_field_index("ids")).to_pylist()
             held = [(i, lo, len(r)) for i, r in enumerate(rows) for lo in range(0, len(r), BLOCK * wide)]
-            for a, b in _groups([min(n - lo, BLOCK * wide) // wide for _, lo, n in held], AT_ONCE):
+            for a, b in _groups([min(n - lo, BLOCK * wide) // wide for _, lo, n in held], PACKED):
                 some = held[a:b]
                 ids = np.frombuffer(b"".join(rows[i][lo : lo + BLOCK * wide] for i, lo, _ in some), width).astype(np.int64)
                 sizes = np.array([min(n - lo, BLOCK * wide) // wide for _, lo, n in some], np.int64)
@@ -384,9 +379,11 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     width = "<u2" if widest < 1 << 16 else "<u4"
     id_field = T.StructField("id", docs.schema[id_col].dataType)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    ids = rows.mapInArrow(_ids_of(sc.broadcast(definition), end_id, width), T.StructType([id_field, T.StructField("ids", T.BinaryType())]))
-    ids = scratch.save(ids, "ids", compression="zstd")
-    counts = ids.select("ids").mapInArrow(_counted(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    tally = T.ArrayType(T.StructType([T.StructField("token", T.LongType()), T.StructField("n", T.LongType())]))
+    kind = T.StructType([id_field, T.StructField("ids", T.BinaryType()), T.StructField("counts", tally)])
+    encode = _ids_of(sc.broadcast(definition), end_id, width, to_arrow_type(id_field.dataType))
+    ids = scratch.save(rows.mapInArrow(encode, kind), "ids", compression="zstd")
+    counts = ids.select(F.explode("counts").alias("c")).groupBy("c.token").agg(F.sum("c.n").alias("n"))
     counts = counts.orderBy("token").collect()  # one row a token of the vocabulary at most
     token, n = (np.array([r[i] for r in counts], np.int64) for i in range(2))
     lengths = code_lengths(n, max(LIMIT, int(len(n)).bit_length()))
@@ -397,7 +394,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
         id_field, *[T.StructField(c, T.LongType()) for c in ("size", "hash", "row", "before", "n", "after")],
         T.StructField("checkpoints", T.BinaryType()), T.StructField("payload", T.BinaryType()),
     ])
-    told = ids.select("id", F.length("ids").cast("long").alias("size"), F.xxhash64("ids").alias("hash"),
+    told = ids.where("ids IS NOT NULL").select("id", F.length("ids").cast("long").alias("size"), F.xxhash64("ids").alias("hash"),
                       F.monotonically_increasing_id().alias("row"), "ids")
     order = ("id", "size", "hash", "row", "before")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

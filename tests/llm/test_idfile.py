@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +162,22 @@ def test_query_on_a_test_table(spark):
         want[doc] = (start, n, crc)
         start += n
     assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in queries.op11_idfile(spark, SF001).collect()} == want
+
+
+def test_ids_are_counted_as_they_are_made(spark):
+    """One row a task has its counts; they sum to the ids of all texts, ends included."""
+    with open(TOKENIZER, encoding="utf-8") as f:
+        definition = f.read()
+    texts = ["one two two", None, "", "two three"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    kind = "id long, ids binary, counts array<struct<token: long, n: long>>"
+    made = docs.mapInArrow(idfile._ids_of(spark.sparkContext.broadcast(definition), 2, "<u2", pa.int64()), kind).collect()
+    rows = [r for r in made if r["counts"] is None]
+    assert sorted(r["id"] for r in rows) == [0, 1, 2, 3]
+    told: dict[int, int] = {}
+    for r in made:
+        for c in r["counts"] or []:
+            told[c["token"]] = told.get(c["token"], 0) + c["n"]
+    ids = np.concatenate([np.frombuffer(r["ids"], "<u2") for r in rows])
+    token, n = np.unique(ids, return_counts=True)
+    assert told == dict(zip(token.tolist(), n.tolist(), strict=True)) and told[2] == 4
