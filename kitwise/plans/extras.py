@@ -45,7 +45,8 @@ def _alternate_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _direct_parent_on_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = stages_for(spark, sf_dir, "table")
+    # the rows are read three times; what they are made of, once
+    st = stages_for(spark, sf_dir, "table", hot=("spine", "inventory_by_part"))
     rows = st.spine.join(st.inventory_by_part.select("part_number", "on_hand"), "part_number", "left")
     return shape(direct_parent_on_hand(rows), SCHEMAS["direct_parent_on_hand"])
 
