@@ -87,6 +87,30 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1)
 
 
+class Lookup:
+    """Places in a sorted table of hashes, found from where their first bits begin."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+        self.shift = np.uint64(64 - max(1, len(table).bit_length()))
+        self.start = np.searchsorted(table >> self.shift, np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64))
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """As ``_find``."""
+        out = np.full(len(values), -1)
+        first = (values >> self.shift).astype(np.int64)
+        at, end = self.start[first], self.start[first + 1]
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], values[left]
+        while len(left):
+            here = self.table[at]
+            same = here == wanted
+            out[left[same]] = at[same]
+            on = np.flatnonzero((here < wanted) & (at + 1 < end))
+            left, at, end, wanted = left[on], at[on] + 1, end[on], wanted[on]
+        return out
+
+
 def tail_class(w: Words) -> np.ndarray:
     """A word's class: its last three bytes and its length up to 15."""
     ending = span_hashes(w.bytes, np.maximum(w.start, w.end - 3), w.end)
@@ -278,15 +302,17 @@ def _expectation(alphabet, model):
 def _scoring(alphabet, model, tables):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al, m, t = alphabet.value, model.value, tables.value
+        frequent = Lookup(t["word"])
         row = TaskContext.get().partitionId() << 33
         for part in parts:
             texts = part.column(1).to_pylist()
-            for lo, hi in batches(texts):
+            # long batches: each has as many forward steps as its longest text has tokens
+            for lo, hi in batches(texts, 1 << 22):
                 w = Words(texts[lo:hi])
                 n = hi - lo
                 symbol, is_head = al.symbols(w)
                 seq, size = _sequences(w, symbol, al.end)
-                at = _find(t["word"], w.hash)
+                at = frequent.find(w.hash)
                 common = at >= 0
                 log_c = np.where(common, t["log_c"][np.maximum(at, 0)] if len(t["word"]) else 0.0, 0.0)
                 within = np.where(is_head, 0.0, -t["log_class"][np.where(is_head, 0, symbol - len(al.head))])

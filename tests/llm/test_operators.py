@@ -370,3 +370,12 @@ def test_base_scores_and_held_out_gain(spark):
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
     assert hmm.score_documents(docs.limit(0)).count() == 0
+
+
+def test_hash_lookup_finds_what_a_binary_search_finds():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 1000):
+        table = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        table = np.unique(np.concatenate((table, table[:3] + np.uint64(1))))  # neighbours in one bucket
+        values = np.concatenate((table, table + np.uint64(1), rng.integers(0, 1 << 64, 500, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)))
+        assert (hmm.Lookup(table).find(values) == hmm._find(table, values)).all()
