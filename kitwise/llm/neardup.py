@@ -40,7 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from kitwise.llm.components import connected_components
 from kitwise.llm.scratch import Scratch
-from kitwise.llm.words import Words, batches, mix, shingles
+from kitwise.llm.words import Words, mix, shingles, text_batches
 
 #: Minima in a band.
 ROWS = 5
@@ -50,6 +50,8 @@ SMALL_BUCKET = 16
 BLOCK_SHINGLES = 1 << 18
 #: Members compared with one leader in one task.
 LEADER_CHUNK = 256
+#: Bytes of text that a task has in an Arrow batch, and that it hashes at once (some 60 times as many in use).
+ARROW_BYTES, HASHED = 1 << 22, 1 << 18
 
 
 def least_agreeing(n: int, threshold: Fraction, miss: float) -> int:
@@ -76,9 +78,9 @@ def _sketch(k: int, n_minima: int, seed: int, id_type: pa.DataType):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _coefficients(n_minima, seed)
         for part in parts:
-            ids, texts = part.column(0), part.column(1).to_pylist()
-            for lo, hi in batches(texts):
-                doc, value = shingles(Words(texts[lo:hi]), k)
+            ids = part.column(0)
+            for lo, hi, texts in text_batches(part.column(1), HASHED):
+                doc, value = shingles(Words(texts), k)
                 n = np.bincount(doc, minlength=hi - lo).astype(np.int64)
                 full = np.flatnonzero(n)
                 h = np.zeros((2, hi - lo), np.uint64)
@@ -111,9 +113,9 @@ def _sketch(k: int, n_minima: int, seed: int, id_type: pa.DataType):
 def _sets(k: int, id_type: pa.DataType):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ids, texts = part.column(0), part.column(1).to_pylist()
-            for lo, hi in batches(texts):
-                doc, value = shingles(Words(texts[lo:hi]), k)
+            ids = part.column(0)
+            for lo, hi, texts in text_batches(part.column(1), HASHED):
+                doc, value = shingles(Words(texts), k)
                 cut = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -210,7 +212,7 @@ class _Search:
             ]
         )
         run = _sketch(self.k, self.bands * ROWS, self.seed, self.arrow)
-        return self.scratch.save(self.docs.mapInArrow(run, out), "sketches")
+        return self.scratch.save(self.docs.mapInArrow(run, out), "sketches", arrow_bytes=ARROW_BYTES)
 
     def classes(self, sketches: DataFrame) -> DataFrame:
         """One row for each distinct shingle set; node: the smallest id that has it."""
@@ -314,7 +316,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: floa
         .select("node", "text")
     )
     set_type = T.StructType([T.StructField("node", s.kind), T.StructField("set", T.ArrayType(T.LongType()))])
-    sets = scratch.save(texts.mapInArrow(_sets(k, s.arrow), set_type), "sets")
+    sets = scratch.save(texts.mapInArrow(_sets(k, s.arrow), set_type), "sets", arrow_bytes=ARROW_BYTES)
 
     # each member against the leaders of its buckets: its two likeliest ones
     pop = mates.groupBy("node").agg(F.max("pop").alias("pop"))

@@ -44,9 +44,16 @@ class Scratch:
         self._names: set[str] = set()
         _kept.append((self._jvm, self._conf, self.folder))
 
-    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str | None = None, arrow_bytes: int | None = None) -> DataFrame:
+        """Write a table and read it; Python functions of ``df`` get Arrow batches of about ``arrow_bytes`` each."""
         path = f"{self.folder}/{name}"
-        df.write.parquet(path, compression=compression)
+        setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, arrow_bytes or before)
+        try:
+            df.write.parquet(path, compression=compression)
+        finally:
+            self.spark.conf.set(setting, before)
         self._names.add(name)
         return self.read(name, df.schema)
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _M64 = (1 << 64) - 1
 #: Base of the polynomial word hash (odd, so that it has an inverse mod 2**64).
@@ -60,6 +62,16 @@ def batches(texts: list[str | None], limit: int = 1 << 21) -> Iterator[tuple[int
         yield start, len(texts)
 
 
+def text_batches(texts: pa.Array, limit: int) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Index ranges of an Arrow column with ``limit`` bytes at most and their texts; a longer text stands alone."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    end, lo = np.cumsum(size), 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(end, end[lo] - size[lo] + limit, side="right")))
+        yield lo, hi, texts.slice(lo, hi - lo).to_pylist()
+        lo = hi
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans [start, end) of ``data``; equal bytes hash alike wherever they stand."""
     if not len(start):

@@ -2,8 +2,10 @@
 
 import math
 import random
+import tracemalloc
 from fractions import Fraction
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from kitwise.llm import neardup
 from kitwise.llm.components import connected_components
 from kitwise.llm.scratch import Scratch
+from kitwise.llm.words import text_batches
 
 SCHEMA = "doc_id long, text string, node string, sig string"  # clashing names on purpose
 
@@ -106,6 +109,23 @@ def test_an_id_with_two_texts_links_both_their_groups(spark):
     assert {(r["doc_id"], r["component_id"]) for r in short} == got
 
 
+def test_texts_are_hashed_a_few_at_a_time():
+    texts = ["é" * 60, None, "", "a" * 500, "b", None]
+    got = list(text_batches(pa.array(texts), 130))
+    assert [(lo, hi) for lo, hi, _ in got] == [(0, 3), (3, 4), (4, 6)] and sum((t for _, _, t in got), []) == texts
+    assert not list(text_batches(pa.array([], pa.string()), 130))
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=500)) for _ in range(2000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts), pa.array(range(2000))], names=["id", "text", "text_hash"])
+    run = neardup._sketch(3, 140, 17, pa.int64())
+    list(run(iter([rows.slice(0, 1)])))
+    tracemalloc.start()
+    n = sum(out.num_rows for out in run(iter([rows])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2000 and peak < 48 << 20  # 2 MB of text
+
+
 def test_signatures_and_bands_miss_less_than_they_may():
     for t, n in ((Fraction("0.8"), 200), (Fraction("0.85"), 140)):
         k = neardup.least_agreeing(n, t, 5e-8)
