@@ -19,7 +19,7 @@ any store will do:
 Texts are encoded once, in units that are kept in a table: a byte-level
 tokenizer's words never go on over a space that follows another character, nor
 from an ASCII letter to a mark, so a text's ids are those of its units in turn. New units are encoded many at a time, joined, and told apart by the
-lengths of their tokens. Ids are counted as they are made, coded, and only then moved, by
+lengths of their tokens. Ids are counted as they are made, coded once into a table, and only then moved, by
 one range exchange of the codes. Strings of special tokens in a text are
 ordinary text.
 
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from kitwise.llm.pieces import BATCH, _Table
+from kitwise.llm.pieces import BATCH
 from kitwise.llm.scratch import Scratch
 from kitwise.llm.words import batches, span_hashes
 
@@ -52,7 +52,9 @@ LIMIT, BLOCK, STEP = 18, 1 << 15, 256
 #: Ids that are packed, and decoded, at once.
 PACKED, AT_ONCE = 1 << 19, 1 << 21
 #: Units that a table holds before it forgets the seldom used.
-KEPT = 1 << 19
+KEPT = 1 << 20
+#: New units that the library gets in one text.
+JOINED = 1024
 
 
 # Text to ids -----------------------------------------------------------------------------------
@@ -64,13 +66,76 @@ def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
-class _Units(_Table):
-    def add_runs(self, hash_: np.ndarray, length: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        """New entries, all their ids in one array; ``hash_`` is sorted."""
-        first = len(self.flat) + np.cumsum(size) - size
-        self.add(hash_, length, [()] * len(size), np.ones((len(size), 2), bool))
-        self.first[-len(size) :], self.size[-len(size) :] = first, size
-        self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
+def _room(column: np.ndarray, n: int) -> np.ndarray:
+    """The column with room for ``n`` entries at least."""
+    return column if n <= len(column) else np.concatenate((column, np.zeros(max(n, 2 * len(column)) - len(column), column.dtype)))
+
+
+class Units:
+    """Ids of units: ``n`` numbered entries, whose numbers stand in ``slots`` at the first bits of their hashes or in the next free place."""
+
+    def __init__(self):
+        self.n, self.n_ids = 0, 0
+        self.hash, self.length = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+        self.first, self.size, self.used = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.flat = np.zeros(1, np.int32)
+        self._deal()
+
+    def _deal(self) -> None:
+        """All entries in new slots, a quarter of them taken at most."""
+        bits = (4 * self.n + 4).bit_length()
+        self.shift, self.slots = np.uint64(64 - bits), np.full(1 << bits, -1, np.int32)
+        self._place(np.arange(self.n))
+
+    def _place(self, entry: np.ndarray) -> None:
+        at = (self.hash[entry] >> self.shift).astype(np.int64)
+        while len(entry):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = entry[free]  # the last of those that want one place has it
+            lost = self.slots[at] != entry
+            entry, at = entry[lost], (at[lost] + 1) & (len(self.slots) - 1)
+
+    def find(self, hash_: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The entry of each unit, -1 where there is none."""
+        out, left = np.full(len(hash_), -1), np.arange(len(hash_))
+        at = (hash_ >> self.shift).astype(np.int64)
+        while len(left):
+            entry = self.slots[at]
+            same = (entry >= 0) & (self.hash[entry] == hash_) & (self.length[entry] == length)
+            out[left[same]] = entry[same]
+            on = np.flatnonzero((entry >= 0) & ~same)
+            left, at, hash_, length = left[on], (at[on] + 1) & (len(self.slots) - 1), hash_[on], length[on]
+        return out
+
+    def add(self, hash_: np.ndarray, length: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New entries, all their ids in one array."""
+        lo, hi = self.n, self.n + len(hash_)
+        first = self.n_ids + np.cumsum(size) - size
+        for name, new in (("hash", hash_), ("length", length), ("first", first), ("size", size), ("used", 0)):
+            column = _room(getattr(self, name), hi)
+            column[lo:hi] = new
+            setattr(self, name, column)
+        self.flat = _room(self.flat, self.n_ids + len(ids))
+        self.flat[self.n_ids : self.n_ids + len(ids)] = ids
+        self.n, self.n_ids = hi, self.n_ids + len(ids)
+        if 2 * self.n > len(self.slots):
+            self._deal()
+        else:
+            self._place(np.arange(lo, hi))
+
+    def ids(self, entry: np.ndarray) -> np.ndarray:
+        """All ids of the entries, one after another."""
+        return self.flat[_runs(self.first[entry], self.size[entry])]
+
+    def count(self, entry: np.ndarray) -> None:
+        self.used[: self.n] += np.bincount(entry, minlength=self.n)
+
+    def shrink(self) -> None:
+        """Forget the units used less than twice since the last time."""
+        kept = np.flatnonzero(self.used[: self.n] > 1)
+        flat, columns = self.ids(kept), [c[kept] for c in (self.hash, self.length, self.size)]
+        self.__init__()
+        self.add(columns[0], columns[1], flat, columns[2])
 
 
 class Encoder:
@@ -86,7 +151,7 @@ class Encoder:
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)
-        self.table = _Units()
+        self.table = Units()
 
     @staticmethod
     def ends(data: np.ndarray) -> np.ndarray:
@@ -113,8 +178,8 @@ class Encoder:
         units = [joined[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
         size, runs, placed = np.zeros(len(units), np.int64), [], []
         together = np.flatnonzero(spaced | led)
-        for lo in range(0, len(together), 4096):
-            some = together[lo : lo + 4096]
+        for lo in range(0, len(together), JOINED):
+            some = together[lo : lo + JOINED]
             text = b"".join(b"\n" + units[i] if with_feed else units[i] for i, with_feed in zip(some.tolist(), led[some].tolist(), strict=True))
             ids = self._encode([text.decode()])[0]
             cuts = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum((end - start)[some] + led[some])) + 1
@@ -149,19 +214,20 @@ class Encoder:
         end = np.append(start[1:], len(data))
         hash_, length = span_hashes(data, start, end), end - start
         table = self.table
-        if len(table.hash) > KEPT:
+        if table.n > KEPT:
             table.shrink()
         at = table.find(hash_, length)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             _, once, which = np.unique(hash_[missing], return_index=True, return_inverse=True)
-            at[missing] = len(table.hash) + which
+            at[missing] = table.n + which
             new = missing[once]
             ids, n = self._new(joined, start[new], end[new], ends[end[new] - 1])
-            table.add_runs(hash_[new], length[new], ids, n)
-        table.used += np.bincount(at, minlength=len(table.hash))
-        text = np.searchsorted(np.cumsum(size), start, side="right")
-        return table.ids(at), np.bincount(text, table.size[at], len(texts)).astype(np.int64)
+            table.add(hash_[new], length[new], ids, n)
+        table.count(at)
+        before = np.append(0, np.cumsum(table.size[at]))  # ids before a unit
+        border = before[np.searchsorted(start, np.append(0, np.cumsum(size)))]
+        return table.ids(at), np.diff(border)
 
 
 @lru_cache(maxsize=2)
@@ -246,15 +312,15 @@ class Code:
         last = np.cumsum(sizes)
         bits = np.diff(np.append(0, np.append(0, ends)[last]))
         border = np.append(0, np.cumsum((bits + 7) // 8))
-        run = np.repeat(np.arange(len(sizes)), sizes)
-        offset = ends - length + np.repeat(8 * border[:-1] - (np.cumsum(bits) - bits), sizes)
+        own = ends - length - np.repeat(np.cumsum(bits) - bits, sizes)
+        offset = own + np.repeat(8 * border[:-1], sizes)
         word, within = offset >> 5, offset & 31
         value = self.code[ids].astype(np.uint64) << (64 - within - length).astype(np.uint64)
         n = int(border[-1]) // 4 + 2
         # bits of different ids never meet, so their sums in doubles are exact
         words = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), n) + np.bincount(
             word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), n + 1)[:n]
-        return words.astype(">u4").tobytes()[: int(border[-1])], border, offset - 8 * border[:-1][run]
+        return words.astype(">u4").tobytes()[: int(border[-1])], border, own
 
     def unpack(self, payload: bytes, offsets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The ids of lanes that begin at bit ``offsets``, one lane after another."""
@@ -398,11 +464,14 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
                       F.monotonically_increasing_id().alias("row"), "ids")
     order = ("id", "size", "hash", "row", "before")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coded = told.mapInArrow(_coded(data, width), part).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    # written, as a range exchange reads its input twice
+    coded = scratch.save(told.mapInArrow(_coded(data, width), part), "coded", compression="uncompressed")
+    scratch.drop("ids")
+    coded = coded.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     blocks = coded.select("id", "before", "n", "after", "checkpoints", "payload").mapInArrow(
         _blocked(to_arrow_type(id_field.dataType)), _block_type(id_field.dataType))
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
-    scratch.drop("ids")
+    scratch.drop("coded")
     sums = spark.read.schema(_block_type(id_field.dataType)).parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     shards = sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))

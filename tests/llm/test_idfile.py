@@ -181,3 +181,50 @@ def test_ids_are_counted_as_they_are_made(spark):
     ids = np.concatenate([np.frombuffer(r["ids"], "<u2") for r in rows])
     token, n = np.unique(ids, return_counts=True)
     assert told == dict(zip(token.tolist(), n.tolist(), strict=True)) and told[2] == 4
+
+
+def test_every_document_is_coded_once(spark, monkeypatch):
+    """A range exchange reads its input twice; what it reads is a table."""
+    coded, seen = idfile._coded, spark.sparkContext.accumulator(0)
+
+    def counting(book, width):
+        run = coded(book, width)
+
+        def counted(parts):
+            for part in parts:
+                seen.add(part.num_rows)
+                yield from run(iter([part]))
+
+        return counted
+
+    monkeypatch.setattr(idfile, "_coded", counting)
+    idfile.write(documents(spark, [(i, f"text {i}") for i in range(50)]), f"{Scratch(spark).folder}/ids", TOKENIZER, 2)
+    assert seen.value == 50
+
+
+def test_units_are_found_again():
+    rnd = np.random.default_rng(7)
+    table, want = idfile.Units(), {}
+    assert table.find(np.array([0, 5], np.uint64), np.array([0, 1])).tolist() == [-1, -1]
+    for turn in range(6):  # many hashes with the same first bits
+        hash_ = np.unique(rnd.integers(0, 1 << 40, 400, dtype=np.uint64) | np.uint64((1 << 64) - (1 << 41)))
+        hash_ = hash_[table.find(hash_, np.full(len(hash_), turn)) < 0]
+        size = rnd.integers(0, 4, len(hash_))
+        ids = rnd.integers(0, 50000, size.sum())
+        table.add(hash_, np.full(len(hash_), turn), ids, size)
+        runs = np.split(ids, np.cumsum(size)[:-1])
+        want |= {(int(h), turn): r.tolist() for h, r in zip(hash_, runs, strict=True)}
+
+    def check():
+        keys = list(want)
+        at = table.find(np.array([h for h, _ in keys], np.uint64), np.array([n for _, n in keys]))
+        assert (at >= 0).all() and table.n == len(keys)
+        assert table.ids(at).tolist() == sum((want[k] for k in keys), [])
+        assert (table.find(np.array([h for h, _ in keys], np.uint64), np.array([n + 1 for _, n in keys])) < 0).all()
+        return keys, at
+
+    keys, at = check()
+    table.count(np.concatenate((at[::2], at[::2], at[1::2])))
+    table.shrink()
+    want = {k: want[k] for k in keys[::2]}
+    check()
